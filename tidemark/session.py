@@ -45,6 +45,7 @@ def local_session(name: str = "tidemark", cores: int | str = "*", partitions: in
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     for key, value in RUNTIME_SETTINGS.items():
         builder = builder.config(key, value)
