@@ -28,10 +28,10 @@ def split_panel(spark, folder):
     )
 
 
-def daily_orders(spark, folder):
-    """Orders with the partition columns of their purchase day."""
-    orders = data.table(spark, folder, "orders")
-    return orders.select("o_orderkey", "o_totalprice", "o_orderdate", *daily.day_columns(F.col("o_orderdate")))
+def daily_events(spark, folder):
+    """Events with the partition columns of the day they happened."""
+    events = data.table(spark, folder, "events")
+    return events.select("event_id", "user_id", "event_type", "value", *daily.day_columns(F.col("ts")))
 
 
 @query("s1_parquet_scan", "SELECT * FROM orders")
@@ -41,15 +41,15 @@ def parquet_scan(spark, folder):
 
 @query(
     "s2_partitioned_scan",
-    "SELECT o_orderkey, o_totalprice, strftime(o_orderdate, '%Y') AS year, strftime(o_orderdate, '%m') AS month, "
-    "strftime(o_orderdate, '%d') AS day FROM orders WHERE strftime(o_orderdate, '%Y-%m-%d') <= '1998-06-30'",
+    "SELECT event_id, value, strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, strftime(ts, '%d') AS day "
+    "FROM events WHERE ts < TIMESTAMP '2024-01-16'",
 )
 def partitioned_scan(spark, folder):
     """Days up to a last one, by partition pruning."""
     root = scratch_path(spark, "lake")
-    sinks.write_parts(daily_orders(spark, folder), f"{root}/orders", files.DAY_COLUMNS)
-    lake = files.days_until(files.scan_table(spark, root, "orders", partitioned=True), "1998-06-30")
-    return lake.select("o_orderkey", "o_totalprice", *files.DAY_COLUMNS)
+    sinks.write_parts(daily_events(spark, folder), f"{root}/events", files.DAY_COLUMNS)
+    lake = files.days_until(files.scan_table(spark, root, "events", partitioned=True), "2024-01-15")
+    return lake.select("event_id", "value", *files.DAY_COLUMNS)
 
 
 @query("s3_csv_scan_inferred", "SELECT * FROM customer")
@@ -167,31 +167,26 @@ def stored_features_and_labels(spark, folder):
 
 @query(
     "s12_daily_write_twice",
-    "SELECT strftime(o_orderdate, '%Y') AS year, strftime(o_orderdate, '%m') AS month, "
-    "strftime(o_orderdate, '%d') AS day, COUNT(*) AS orders FROM orders GROUP BY ALL",
+    "SELECT event_id, user_id, event_type, value, strftime(ts, '%Y') AS year, strftime(ts, '%m') AS month, "
+    "strftime(ts, '%d') AS day FROM events",
 )
 def daily_write_twice(spark, folder):
-    """All days once, then one day again: the rows are the same."""
+    """All days, all days again, then one day again: the rows are the same."""
     root = scratch_path(spark, "lake")
-    orders = daily_orders(spark, folder)
-    sinks.write_parts(orders, root, files.DAY_COLUMNS)
-    again = orders.filter(F.concat_ws("-", *files.DAY_COLUMNS) == RUN_DAY.isoformat())
-    daily.write_day(again, root, RUN_DAY)
-    return files.scan_partitioned(spark, root).groupBy(*files.DAY_COLUMNS).agg(F.count(F.lit(1)).alias("orders"))
+    events = daily_events(spark, folder)
+    daily.write_days(events, root)
+    daily.write_days(events, root)
+    daily.write_day(events.filter(F.concat_ws("-", *files.DAY_COLUMNS) == "2024-01-10"), root, date(2024, 1, 10))
+    return files.scan_partitioned(spark, root)
 
 
-@query(
-    "s13_completed_days",
-    "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01'",
-)
+@query("s13_completed_days", "SELECT event_id, value FROM events WHERE ts < TIMESTAMP '2024-01-21'")
 def completed_days(spark, folder):
-    """All days are written but only those of the first year are marked; only marked days are read."""
+    """All days are written but only the first twenty are marked; only marked days are read."""
     root = scratch_path(spark, "lake")
-    orders = daily_orders(spark, folder)
-    sinks.write_parts(orders, root, files.DAY_COLUMNS)
-    first_year = orders.filter("year = '1995'").select(*files.DAY_COLUMNS).distinct().collect()  # at most 365 rows
-    daily.mark_days(spark, root, [date(int(r.year), int(r.month), int(r.day)) for r in first_year])
-    return daily.scan_completed(spark, root).select("o_orderkey", "o_totalprice")
+    sinks.write_parts(daily_events(spark, folder), root, files.DAY_COLUMNS)
+    daily.mark_days(spark, root, [date(2024, 1, d) for d in range(1, 21)])
+    return daily.scan_completed(spark, root).select("event_id", "value")
 
 
 REPORT_SQL = with_base(
