@@ -1,9 +1,9 @@
 """Exact quantile of a column that does not fit one task.
 
 Spark's exact ``percentile`` keeps every different value in one aggregation buffer. Here a sketch of bounded size
-brackets the wanted rank, one pass counts the rows below the bracket, and only the value counts inside it are looked at,
-narrowing again while they are many. A bracket that misses the rank is widened, so the result is exact whatever
-the sketch says.
+brackets the wanted rank, a second pass counts the rows below the bracket and each value inside it, and where the
+values inside are still many the bracket is narrowed again. A bracket that misses the rank is widened, so the result is
+exact whatever the sketch says.
 """
 
 from __future__ import annotations
@@ -18,46 +18,32 @@ SKETCH_ACCURACY = 10_000
 FEW_VALUES = 50_000
 
 
-def _value():
-    return F.col("value")
-
+def _sketched(values: DataFrame, shares: list[float], accuracy: int) -> tuple[int, float, float]:
+    """Number of rows, and values at or just outside the two shares."""
+    margin = 2.0 / accuracy
+    wide = [max(0.0, shares[0] - margin), min(1.0, shares[1] + margin)]
+    row = values.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("value", wide, accuracy).alias("q")).first()
+    return row["n"], *(row["q"] or (None, None))
 
 
-def _bracket(inside: DataFrame, ranks: list[int], rows: int, accuracy: int) -> tuple[float, float]:
-    """Values around the ranks (0-based, among ``rows`` rows), by a sketch."""
-    margin = 2.0 / accuracy
-    shares = [max(0.0, ranks[0] / rows - margin), min(1.0, (ranks[-1] + 1) / rows + margin)]
-    return tuple(inside.agg(F.percentile_approx(_value(), shares, accuracy).alias("q")).first()["q"])
+def _counts(values: DataFrame, low: float, high: float, few: int) -> tuple[int, list]:
+    """Rows below ``low``, and up to ``few + 1`` values from ``low`` to ``high`` in order with their rows."""
+    value = F.col("value")
+    side = F.when(value < low, -1).when(value > high, 1).otherwise(0)
+    grouped = values.groupBy(side.alias("side"), F.when(side == 0, value).alias("value")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    rows = grouped.orderBy("side", "value").limit(few + 2).collect()
+    below = sum(r["n"] for r in rows if r["side"] == -1)
+    return below, [(r["value"], r["n"]) for r in rows if r["side"] == 0]
 
 
-def _values_at(values: DataFrame, ranks: list[int], rows: int, few: int, accuracy: int) -> list[float]:
-    """Values at the ascending ranks."""
-    inside, skipped = values, 0
-    while True:
-        wanted = [r - skipped for r in ranks]
-        low, high = _bracket(inside, wanted, rows, accuracy)
-        seen = inside.agg(
-            F.count_if(_value() < low).alias("before"),
-            F.count_if(_value() <= high).alias("through"),
-            F.min(_value()).alias("least"),
-            F.max(_value()).alias("most"),
-        ).first()
-        before, through = seen["before"], seen["through"]
-        if before > wanted[0]:
-            low, before = seen["least"], 0
-        if through <= wanted[-1]:
-            high, through = seen["most"], rows
-        if through - before == rows:
-            accuracy *= 10
-        inside, skipped, rows = inside.filter(_value().between(low, high)), skipped + before, through - before
-        counts = inside.groupBy(_value()).agg(F.count(F.lit(1)).alias("n")).orderBy(_value()).limit(few + 1).collect()
-        if len(counts) <= few:
-            break
-    found, position = [], skipped
-    for row in counts:
-        position += row["n"]
-        while len(found) < len(ranks) and ranks[len(found)] < position:
-            found.append(row["value"])
+def _pick(counts: list, below: int, ranks: list[int]) -> list[float]:
+    """Values at the ranks that lie among the counted ones."""
+    found, end = [], below
+    for value, n in counts:
+        start, end = end, end + n
+        found += [value for rank in ranks if start <= rank < end]
     return found
 
 
@@ -65,12 +51,28 @@ def exact_quantile(
     df: DataFrame, column: str, share: float, few: int = FEW_VALUES, accuracy: int = SKETCH_ACCURACY
 ) -> float | None:
     """Quantile with linear interpolation between neighbours; NULLs do not count. None without values."""
-    values = df.select(F.col(column).cast("double").alias("value")).filter(_value().isNotNull())
-    rows = values.count()
-    if not rows:
+    everything = df.select(F.col(column).cast("double").alias("value")).filter(F.col("value").isNotNull())
+    total, low, high = _sketched(everything, [share, share], accuracy)
+    if not total:
         return None
-    position = (rows - 1) * share
-    lower = math.floor(position)
-    ranks = [lower] if lower == position else [lower, lower + 1]
-    found = _values_at(values, ranks, rows, few, accuracy)
-    return found[0] if len(found) == 1 else found[0] + (found[1] - found[0]) * (position - lower)
+    position = (total - 1) * share
+    ranks = sorted({math.floor(position), math.ceil(position)})
+    values, skipped = everything, 0
+    while True:
+        below, counts = _counts(values, low, high, few)
+        if len(counts) <= few:
+            found = _pick(counts, skipped + below, ranks)
+            if len(found) == len(ranks):
+                break
+            low, high = (-math.inf, high) if ranks[0] < skipped + below else (low, math.inf)
+            continue
+        narrowed = values.filter(F.col("value").between(low, high))
+        inside = narrowed.count()
+        start = skipped + below
+        if not start <= ranks[0] <= ranks[-1] < start + inside:
+            low, high = (-math.inf, high) if ranks[0] < start else (low, math.inf)
+            continue
+        accuracy *= 10 if inside == values.count() else 1
+        values, skipped = narrowed, start
+        _, low, high = _sketched(values, [(ranks[0] - start) / inside, (ranks[-1] - start + 1) / inside], accuracy)
+    return found[0] + (found[-1] - found[0]) * (position - ranks[0])

@@ -57,19 +57,18 @@ def local_session(name: str = "tidemark", cores: int | str = "*", partitions: in
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach: ``spark.checkpoint.dir`` of the session.
 
-    A local session without the setting gets a fresh temporary folder. On a cluster the setting is
-    required, because a machine-local folder would be lost with its machine.
+    Without the setting, a checkpoint folder set on the context is used. A local session with neither gets a fresh temporary
+    folder; on a cluster one of them is required, because a machine-local folder would be lost with its machine.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
-    if folder is None:
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    if not folder and context.getCheckpointDir() is None:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", folder)
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
-    return folder
+    return folder or context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
