@@ -72,7 +72,8 @@ def exact_quantile(
         if not start <= ranks[0] <= ranks[-1] < start + inside:
             low, high = (-math.inf, high) if ranks[0] < start else (low, math.inf)
             continue
-        accuracy *= 10 if inside == values.count() else 1
+        if inside == values.count():
+            accuracy = min(10 * accuracy, 1_000_000_000)
         values, skipped = narrowed, start
         _, low, high = _sketched(values, [(ranks[0] - start) / inside, (ranks[-1] - start + 1) / inside], accuracy)
     return found[0] + (found[-1] - found[0]) * (position - ranks[0])
