@@ -9,6 +9,7 @@ from registered.features import matrix, panel
 from registered.registry import query
 from registered.sql import with_base
 from registered.storage import split_panel
+from tidemark.columns import LABEL, PROBABILITY, SPLITS
 from tidemark.functions import scores
 from tidemark.operators import evaluate, model, split
 from tidemark.operators.quantile import exact_quantile
@@ -37,7 +38,7 @@ def predictions(spark, folder):
     def part(model_id, half):
         p = days / (days + half)
         return test.select(
-            F.lit(model_id).alias("model_id"), F.col(split.LABEL).alias("y"), p.alias("p"), "monetary_total"
+            F.lit(model_id).alias("model_id"), F.col(LABEL).alias("y"), p.alias("p"), "monetary_total"
         )
 
     return part("challenger", 90.0).unionByName(part("champion", 400.0))
@@ -145,7 +146,7 @@ def stored_split(spark, folder):
     path = scratch_path(spark, "splits")
     sinks.write_splits(rows, path)
     stored = spark.read.parquet(path).select(*rows.columns)
-    return [split.one_split(stored, s) for s in split.SPLITS]
+    return [split.one_split(stored, s) for s in SPLITS]
 
 
 @query(
@@ -208,7 +209,7 @@ def boosted_trees(spark, folder):
     train, val, _ = stored_split(spark, folder)
     fitted = model.base_model(train, split.feature_names(train), SMALL)
     scored = fitted.transform(val)
-    return scored.select("customer_unique_id", split.LABEL, model.positive("probability__").alias("probability"))
+    return scored.select("customer_unique_id", LABEL, model.positive("probability__").alias("probability"))
 
 
 def _calibrated(spark, folder):
@@ -220,7 +221,7 @@ def _calibrated(spark, folder):
 @query("m6_calibrated_scores")
 def calibrated_scores(spark, folder):
     fitted, _, val, _ = _calibrated(spark, folder)
-    return model.score(fitted, val).select("customer_unique_id", split.LABEL, model.PROBABILITY)
+    return model.score(fitted, val).select("customer_unique_id", LABEL, PROBABILITY)
 
 
 @query("m7_stored_model")
@@ -231,7 +232,7 @@ def stored_model(spark, folder):
     fitted, _, _, test = _calibrated(spark, folder)
     path = scratch_path(spark, "model")
     fitted.write().save(path)
-    return model.score(PipelineModel.load(path), test).select("customer_unique_id", model.PROBABILITY)
+    return model.score(PipelineModel.load(path), test).select("customer_unique_id", PROBABILITY)
 
 
 @query("m8_feature_importance")

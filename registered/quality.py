@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from registered import sql
-from registered.features import matrix, panel
+from registered.features import matrix
 from registered.registry import query
 from registered.sql import with_base
 from registered.storage import split_panel
+from tidemark.columns import LABEL
 from tidemark.operators import contract, quality, split
 from tidemark.sources import sample_data as data
 
@@ -198,9 +199,23 @@ def quality_report(spark, folder):
     return checks(spark, folder).select(*RESULT)
 
 
-@query("d3_schema_rules", f"SELECT * FROM ({ALL_SQL}) WHERE rule IN ('table_present', 'column_count', 'column_present', 'data_type')")
-def schema_rules(spark, folder):
-    return _rules(spark, folder, "table_present", "column_count", "column_present", "data_type")
+def _only(*rules: str) -> str:
+    return f"SELECT * FROM ({ALL_SQL}) WHERE rule IN ({', '.join(repr(r) for r in rules)})"
+
+
+@query("d3_column_count", _only("table_present", "column_count"))
+def column_count(spark, folder):
+    return _rules(spark, folder, "table_present", "column_count")
+
+
+@query("d4_column_presence", _only("column_present"))
+def column_presence(spark, folder):
+    return _rules(spark, folder, "column_present")
+
+
+@query("d5_data_types", _only("data_type"))
+def data_types(spark, folder):
+    return _rules(spark, folder, "data_type")
 
 
 @query("d6_missing_share", SHARE_SQL)
@@ -254,7 +269,7 @@ def out_of_time_split(spark, folder):
 )
 def train_features_and_label(spark, folder):
     train = split.one_split(split_panel(spark, folder), "train")
-    return train.select(*split.feature_names(train), split.LABEL)
+    return train.select(*split.feature_names(train), LABEL)
 
 
 @query(

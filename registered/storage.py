@@ -7,12 +7,12 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from registered import sql
-from registered.features import matrix, panel, scored
+from registered.features import panel, scored
 from registered.registry import query
 from registered.sql import with_base
 from tidemark.operators import report
-from tidemark.operators.quality import declared_schema
-from tidemark.operators.split import LABEL, feature_names, split_by_snapshot
+from tidemark.columns import LABEL, REPORT_COLUMNS
+from tidemark.operators.split import feature_names, split_by_snapshot
 from tidemark.session import scratch_path
 from tidemark.sources import files, sinks
 from tidemark.sources import sample_data as data
@@ -262,7 +262,7 @@ def flagged_customers(spark, folder):
 
 @query("p8_report_columns", REPORT_SQL)
 def report_columns(spark, folder):
-    return report.flagged(scored(spark, folder)).select(*report.REPORT_COLUMNS)
+    return report.flagged(scored(spark, folder)).select(*REPORT_COLUMNS)
 
 
 @query("p17_run_columns", TELEMETRY_SQL)

@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 
 from tests.orders import AT, by_person, order, tables
 from tidemark.functions.times import days_between, parse_timestamp, snapshot
-from tidemark.operators.features import FEATURE_COLUMNS, point_in_time_features
+from tidemark.columns import FEATURE_COLUMNS, PANEL_COLUMNS
+from tidemark.operators.features import point_in_time_features
 from tidemark.operators.targets import forward_targets
-from tidemark.plans.panel import PANEL_COLUMNS, PLANS, build_panel, cell_of, cut_points, panel_profile
+from tidemark.plans.panel import PLANS, build_panel, cell_of, cut_points, panel_profile
 
 
 def test_cutoff_is_strict_and_window_is_half_open(spark):

@@ -7,9 +7,10 @@ from registered.models import SMALL_SPACE
 from tests.orders import order, raw
 from tidemark.functions.times import snapshot
 from tidemark.operators import model
-from tidemark.operators.features import FEATURE_COLUMNS, point_in_time_features
+from tidemark.columns import FEATURE_COLUMNS, PANEL_COLUMNS
+from tidemark.operators.features import point_in_time_features
 from tidemark.plans.jobs import GateClosed, daily_tables, panel_job, scoring_job, training_job
-from tidemark.plans.panel import PANEL_COLUMNS, build_panel
+from tidemark.plans.panel import build_panel
 from tidemark.sources.tables import typed_tables
 from tidemark.streaming import daily
 

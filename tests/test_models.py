@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from registered.models import SMALL, SMALL_SPACE
 from tidemark.operators import contract, model, split
-from tidemark.operators.report import PROBABILITY
+from tidemark.columns import LABEL, PROBABILITY, SPLITS
 from tidemark.plans.panel import build_panel
 from tidemark.sources import sample_data
 
@@ -17,7 +17,7 @@ def parts(spark, folder, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("split") / "rows")
     rows.write.parquet(path)
     stored = spark.read.parquet(path)
-    return {name: split.one_split(stored, name) for name in split.SPLITS}
+    return {name: split.one_split(stored, name) for name in SPLITS}
 
 
 @pytest.fixture(scope="module")
@@ -63,7 +63,7 @@ def test_learns_something(spark):
     rows = spark.range(2000).select(
         F.col("id").cast("string").alias("customer_unique_id"),
         (F.col("id") % 100).alias("days"),
-        F.when(F.col("id") % 100 > 60, 1).otherwise(0).alias(split.LABEL),
+        F.when(F.col("id") % 100 > 60, 1).otherwise(0).alias(LABEL),
         (F.xxhash64("id") % 50).alias("noise"),
     )
     fitted = model.train_model(rows, ["days", "noise"], SMALL, folds=3)

@@ -3,6 +3,7 @@ import random
 
 import pytest
 
+from tidemark.columns import REPORT_COLUMNS
 from tidemark.operators import evaluate, report, split
 from tidemark.operators.quantile import exact_quantile
 
@@ -81,7 +82,7 @@ def test_report(spark):
     rows = [("a", 10.0, 0.5), ("b", 100.0, 0.49), ("c", 5.0, 1.0), ("d", 20.0, 0.9)]
     scored = report.with_revenue_at_risk(spark.createDataFrame(rows, SCORED))
     ranked = report.business_report(scored)
-    assert ranked.columns == report.REPORT_COLUMNS
+    assert ranked.columns == REPORT_COLUMNS
     assert [r["customer_unique_id"] for r in ranked.collect()] == ["d", "a", "c"]
     assert tuple(report.report_totals(scored).first()) == (4, 3, 28.0)
     bare = report.with_revenue_at_risk(spark.createDataFrame(rows, SCORED).drop("monetary_total"))

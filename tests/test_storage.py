@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.orders import raw
+from tidemark.columns import REPORT_COLUMNS
 from tidemark.operators import report
 from tidemark.sources import files, sinks
 from tidemark.streaming import daily
@@ -120,7 +121,7 @@ def test_empty_report_has_a_header(spark, tmp_path):
     path = tmp_path / "report"
     sinks.write_report_csv(report.business_report(spark.createDataFrame([], SCORED)), str(path))
     text = "".join(f.read_text() for f in path.glob("*.csv"))
-    assert text.strip() == ",".join(report.REPORT_COLUMNS)
+    assert text.strip() == ",".join(REPORT_COLUMNS)
 
 
 def test_report_file_is_in_order(spark, tmp_path):

@@ -15,12 +15,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.columns import PERSON, STATE
 from tidemark.functions.times import days_between
 from tidemark.sources.tables import OrderTables
 
-PERSON = "customer_unique_id"
-STATE = "customer_state"
-
 # What counts as a kept order in the target, and what as a cancellation in the features.
 COMPLETED_STATUSES = ["delivered", "shipped"]
 CANCELED_STATUS = "canceled"

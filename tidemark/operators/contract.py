@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.columns import SYSTEM_COLUMNS
 from tidemark.operators.quality import quoted
-from tidemark.operators.split import SYSTEM_COLUMNS, feature_names
+from tidemark.operators.split import feature_names
 
 # Which actual types a slot takes, by the type it expects. The first line that knows the expected type,
 # as its name or among its types, decides.

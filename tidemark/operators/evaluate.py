@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.columns import MONEY
 from tidemark.functions.scores import campaign_return, expected_value, log_loss_term, squared_error
 from tidemark.operators.quantile import exact_quantile
 
@@ -13,8 +14,6 @@ HIGH_VALUE_SHARE = 0.90
 MIN_RETURN = 0.05
 RETURN_MARGIN = 0.02
 
-MONEY = "monetary_total"
-
 
 def high_value_threshold(df: DataFrame) -> float | None:
     """Money from which a customer is in the high-value slice; None if there is no money column."""

@@ -5,27 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.columns import MONEY, PERSON, SNAPSHOT, STATE
 from tidemark.functions.scores import ratio
 from tidemark.functions.times import Snapshot, days_between, instant
-from tidemark.operators.activity import PAST_MEASURES, PERSON, STATE, activity, merged, summary
+from tidemark.operators.activity import PAST_MEASURES, activity, merged, summary
 from tidemark.sources.tables import OrderTables, orders_before
 
-# Feature columns in contract order.
-FEATURE_COLUMNS = [
-    PERSON,
-    STATE,
-    "recency_days",
-    "tenure_days",
-    "frequency",
-    "monetary_total",
-    "aov",
-    "max_delivery_delay_days",
-    "has_undelivered_order",
-    "total_canceled_orders",
-    "snapshot_date",
-]
-
-
 def feature_columns(snapshot_at: Column, label: Column) -> list[Column]:
     """Feature columns from merged measures and the number of orders in ``frequency``."""
     total = F.col("money").cast("double")
@@ -35,12 +20,12 @@ def feature_columns(snapshot_at: Column, label: Column) -> list[Column]:
         days_between(F.col("last_ts"), snapshot_at).alias("recency_days"),
         days_between(F.col("first_ts"), snapshot_at).alias("tenure_days"),
         F.col("frequency"),
-        total.alias("monetary_total"),
+        total.alias(MONEY),
         ratio(total, F.col("frequency")).alias("aov"),
         F.col("worst_delay").alias("max_delivery_delay_days"),
         F.col("undelivered").alias("has_undelivered_order"),
         F.col("canceled").alias("total_canceled_orders"),
-        label.alias("snapshot_date"),
+        label.alias(SNAPSHOT),
     ]
 
 

@@ -18,10 +18,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.columns import LABEL, PERSON, PROBABILITY
 from tidemark.functions.scores import log_loss_term
-from tidemark.operators.activity import PERSON
-from tidemark.operators.report import PROBABILITY, with_revenue_at_risk
-from tidemark.operators.split import LABEL, class_balance, feature_names
+from tidemark.operators.report import with_revenue_at_risk
+from tidemark.operators.split import class_balance
+from tidemark.session import shared_folder
 
 # Seed, calibration folds, size of the importance sample, number of search trials.
 SEED = 42
@@ -143,6 +144,7 @@ def search(train: DataFrame, val: DataFrame, features: Sequence[str], draws: lis
 
     Rounds that stop helping on ``val`` are not fitted.
     """
+    shared_folder(train.sparkSession)  # where boosting rounds cut their lineage
     encoder = encoding(train, features)
     weight = class_balance(train).first()["positive_weight"]
     both = with_class_weight(
@@ -170,6 +172,7 @@ def train_model(train: DataFrame, features: Sequence[str], parameters: dict, fol
 
     Of each fold, trees are fitted to the other folds and calibrated on the fold itself.
     """
+    shared_folder(train.sparkSession)  # where boosting rounds cut their lineage
     encoder = encoding(train, features)
     weight = class_balance(train).first()["positive_weight"]
     encoded = with_class_weight(encoder.transform(train), weight)
@@ -195,6 +198,7 @@ def train_model(train: DataFrame, features: Sequence[str], parameters: dict, fol
 
 def base_model(train: DataFrame, features: Sequence[str], parameters: dict) -> PipelineModel:
     """Encoding and uncalibrated trees fitted to all of ``train``."""
+    shared_folder(train.sparkSession)  # where boosting rounds cut their lineage
     encoder = encoding(train, features)
     weight = class_balance(train).first()["positive_weight"]
     encoded = with_class_weight(encoder.transform(train), weight).select("features__vector", LABEL, WEIGHT).persist()

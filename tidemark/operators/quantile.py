@@ -26,16 +26,18 @@ def _sketched(values: DataFrame, shares: list[float], accuracy: int) -> tuple[in
     return row["n"], *(row["q"] or (None, None))
 
 
-def _counts(values: DataFrame, low: float, high: float, few: int) -> tuple[int, list]:
-    """Rows below ``low``, and up to ``few + 1`` values from ``low`` to ``high`` in order with their rows."""
+def _counts(values: DataFrame, low: float, high: float, few: int) -> tuple[int, list] | None:
+    """Rows below ``low``, and the values from ``low`` to ``high`` in order with their rows; None if these are many."""
     value = F.col("value")
     side = F.when(value < low, -1).when(value > high, 1).otherwise(0)
     grouped = values.groupBy(side.alias("side"), F.when(side == 0, value).alias("value")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    rows = grouped.orderBy("side", "value").limit(few + 2).collect()
+    rows = grouped.limit(few + 3).collect()
+    if len(rows) > few + 2:
+        return None
     below = sum(r["n"] for r in rows if r["side"] == -1)
-    return below, [(r["value"], r["n"]) for r in rows if r["side"] == 0]
+    return below, sorted((r["value"], r["n"]) for r in rows if r["side"] == 0)
 
 
 def _pick(counts: list, below: int, ranks: list[int]) -> list[float]:
@@ -59,21 +61,27 @@ def exact_quantile(
     ranks = sorted({math.floor(position), math.ceil(position)})
     values, skipped = everything, 0
     while True:
-        below, counts = _counts(values, low, high, few)
-        if len(counts) <= few:
+        counted = _counts(values, low, high, few)
+        if counted is not None:
+            below, counts = counted
             found = _pick(counts, skipped + below, ranks)
             if len(found) == len(ranks):
                 break
             low, high = (-math.inf, high) if ranks[0] < skipped + below else (low, math.inf)
             continue
-        narrowed = values.filter(F.col("value").between(low, high))
-        inside = narrowed.count()
-        start = skipped + below
-        if not start <= ranks[0] <= ranks[-1] < start + inside:
+        inside = F.col("value").between(low, high)
+        sizes = values.agg(
+            F.count(F.lit(1)).alias("all"),
+            F.count_if(F.col("value") < low).alias("below"),
+            F.count_if(inside).alias("inside"),
+        ).first()
+        start = skipped + sizes["below"]
+        if not start <= ranks[0] <= ranks[-1] < start + sizes["inside"]:
             low, high = (-math.inf, high) if ranks[0] < start else (low, math.inf)
             continue
-        if inside == values.count():
+        if sizes["inside"] == sizes["all"]:
             accuracy = min(10 * accuracy, 1_000_000_000)
-        values, skipped = narrowed, start
-        _, low, high = _sketched(values, [(ranks[0] - start) / inside, (ranks[-1] - start + 1) / inside], accuracy)
+        values, skipped = values.filter(inside), start
+        shares = [(ranks[0] - start) / sizes["inside"], (ranks[-1] - start + 1) / sizes["inside"]]
+        _, low, high = _sketched(values, shares, accuracy)
     return found[0] + (found[-1] - found[0]) * (position - ranks[0])

@@ -5,23 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.columns import AT_RISK, MONEY, PERSON, PROBABILITY, REPORT_COLUMNS
 from tidemark.functions.scores import revenue_at_risk
 from tidemark.functions.times import utc_now
-from tidemark.operators.activity import PERSON
 
-PROBABILITY = "predicted_probability"
-AT_RISK = "revenue_at_risk"
-
-# Columns of the business report in order, and the probability from which a customer is flagged.
-REPORT_COLUMNS = [PERSON, PROBABILITY, "monetary_total", AT_RISK]
+# Fixed value: the probability from which a customer is flagged.
 FLAG_THRESHOLD = 0.5
 
 
 def with_revenue_at_risk(scored: DataFrame) -> DataFrame:
     """Probability times money, 0.0 where the matrix has no money."""
-    if "monetary_total" not in scored.columns:
+    if MONEY not in scored.columns:
         return scored.withColumn(AT_RISK, F.lit(0.0))
-    return scored.withColumn(AT_RISK, revenue_at_risk(F.col(PROBABILITY), F.col("monetary_total")))
+    return scored.withColumn(AT_RISK, revenue_at_risk(F.col(PROBABILITY), F.col(MONEY)))
 
 
 def flagged(scored: DataFrame, threshold: float = FLAG_THRESHOLD) -> DataFrame:

@@ -7,25 +7,21 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Columns that are no features, and the label.
-SYSTEM_COLUMNS = ["customer_unique_id", "snapshot_date", "ingested_at_utc", "target_180d_ltv"]
-LABEL = "target_is_churn"
-SPLITS = ["train", "val", "test"]
-
+from tidemark.columns import LABEL, SNAPSHOT, SPLIT, SPLITS, SYSTEM_COLUMNS
 
 def split_by_snapshot(panel: DataFrame, train: Sequence[str], val: str, test: str) -> DataFrame:
     """The panel with its ``split``; rows of other snapshots drop out, and their files are never read."""
-    day = F.col("snapshot_date")
+    day = F.col(SNAPSHOT)
     name = F.when(day.isin(list(train)), SPLITS[0]).when(day == val, SPLITS[1]).when(day == test, SPLITS[2])
-    return panel.filter(day.isin([*train, val, test])).withColumn("split", name)
+    return panel.filter(day.isin([*train, val, test])).withColumn(SPLIT, name)
 
 
 def one_split(split_panel: DataFrame, name: str) -> DataFrame:
-    return split_panel.filter(F.col("split") == name).drop("split")
+    return split_panel.filter(F.col(SPLIT) == name).drop(SPLIT)
 
 
 def feature_names(df: DataFrame, label: str = LABEL) -> list[str]:
-    return [c for c in df.columns if c not in SYSTEM_COLUMNS and c not in (label, "split")]
+    return [c for c in df.columns if c not in SYSTEM_COLUMNS and c not in (label, SPLIT)]
 
 
 def features_of(df: DataFrame, label: str = LABEL) -> DataFrame:
@@ -40,7 +36,7 @@ def labels_of(df: DataFrame, label: str = LABEL) -> DataFrame:
 
 def split_counts(split_panel: DataFrame) -> DataFrame:
     """Rows per split and in total, in one row."""
-    counts = [F.count_if(F.col("split") == s).alias(f"{s}_rows") for s in SPLITS]
+    counts = [F.count_if(F.col(SPLIT) == s).alias(f"{s}_rows") for s in SPLITS]
     return split_panel.agg(*counts, F.count(F.lit(1)).alias("total_rows"))
 
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.columns import PERSON
 from tidemark.functions.times import Snapshot, in_window
-from tidemark.operators.activity import PERSON, activity, is_completed
+from tidemark.operators.activity import activity, is_completed
 from tidemark.sources.tables import OrderTables
 
 

@@ -9,10 +9,11 @@ from datetime import date
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.columns import LABEL, MONEY, PERSON, PROBABILITY, SNAPSHOT, SPLITS
 from tidemark.functions.times import Snapshot, snapshot
 from tidemark.operators import contract, evaluate, model, quality, report
 from tidemark.operators.features import point_in_time_features
-from tidemark.operators.split import LABEL, feature_names, features_of, one_split, split_by_snapshot
+from tidemark.operators.split import feature_names, features_of, one_split, split_by_snapshot
 from tidemark.plans.panel import build_panel, panel_profile
 from tidemark.session import apply_settings
 from tidemark.sources import sinks
@@ -82,7 +83,7 @@ def training_job(
     split = split_by_snapshot(panel, train, val, test)
     sinks.write_splits(split, f"{folder}/splits")
     stored = spark.read.parquet(f"{folder}/splits").select(*split.columns)
-    train_rows, val_rows, test_rows = (one_split(stored, s) for s in ("train", "val", "test"))
+    train_rows, val_rows, test_rows = (one_split(stored, s) for s in SPLITS)
     names = feature_names(train_rows)
 
     draws = model.sampled_parameters(model.TRIALS) if draws is None else draws
@@ -91,7 +92,7 @@ def training_job(
     fitted.write().overwrite().save(f"{folder}/model")
 
     base = model.base_model(train_rows, names, best)
-    sample = model.seeded_sample(val_rows, keys=["customer_unique_id", "snapshot_date"])
+    sample = model.seeded_sample(val_rows, keys=[PERSON, SNAPSHOT])
     importance = model.permutation_importance(base, sample, model.positive("probability__"), names)
 
     rivals = {"challenger": fitted} | ({"champion": champion} if champion is not None else {})
@@ -99,7 +100,7 @@ def training_job(
     predictions = None
     for model_id, rival in rivals.items():
         part = model.score(rival, test_rows).selectExpr(
-            f"'{model_id}' AS model_id", f"{LABEL} AS y", f"{report.PROBABILITY} AS p", "monetary_total"
+            f"'{model_id}' AS model_id", f"{LABEL} AS y", f"{PROBABILITY} AS p", MONEY
         )
         predictions = part if predictions is None else predictions.unionByName(part)
     metrics = evaluate.evaluation(predictions, threshold)

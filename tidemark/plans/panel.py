@@ -19,19 +19,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.columns import CHURN_TARGET, FEATURE_COLUMNS, INGESTED_AT, PERSON, STATE, VALUE_TARGET
 from tidemark.functions.times import Snapshot, instant, utc_now
-from tidemark.operators.activity import FUTURE_MEASURES, MEASURES, PAST_MEASURES, PERSON, STATE, activity, merged, summary
-from tidemark.operators.features import FEATURE_COLUMNS, feature_columns, point_in_time_features
+from tidemark.operators.activity import FUTURE_MEASURES, MEASURES, PAST_MEASURES, activity, merged, summary
+from tidemark.operators.features import feature_columns, point_in_time_features
 from tidemark.operators.targets import churn_target, forward_targets, value_target
 from tidemark.sources.tables import OrderTables, orders_before
 
-# Names of the target and system columns, in output order after the features.
-VALUE_TARGET = "target_180d_ltv"
-CHURN_TARGET = "target_is_churn"
-INGESTED_AT = "ingested_at_utc"
-PANEL_COLUMNS = FEATURE_COLUMNS + [VALUE_TARGET, CHURN_TARGET, INGESTED_AT]
-
-
 def join_targets(features: DataFrame, targets: DataFrame) -> DataFrame:
     """Features with targets. Whoever has no target row has left and brought nothing; so has the person without an
     id, because an unknown id matches nobody."""
@@ -100,15 +94,19 @@ def cut_points(snapshots: Sequence[Snapshot], days: int) -> list[datetime]:
 
 
 def cell_of(moment: Column, cuts: Sequence[datetime]) -> Column:
-    """Number of cut points at or before ``moment``."""
-    return reduce(
-        lambda later, i: F.when(moment < instant(cuts[i]), i).otherwise(later),
-        reversed(range(len(cuts))),
-        F.lit(len(cuts)),
-    )
+    """Number of cut points at or before ``moment``, found by halving."""
+
+    def between(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(moment < instant(cuts[middle]), between(low, middle)).otherwise(between(middle + 1, high))
+
+    return between(0, len(cuts))
 
 
 def cells_panel(tables: OrderTables, snapshots: Sequence[Snapshot], days: int) -> DataFrame:
+    snapshots = sorted(snapshots, key=lambda s: s.at)
     cuts = cut_points(snapshots, days)
     starts = [cuts.index(s.at) for s in snapshots]
     ends = [cuts.index(s.window_end(days)) for s in snapshots]
@@ -116,14 +114,11 @@ def cells_panel(tables: OrderTables, snapshots: Sequence[Snapshot], days: int) -
     rows = activity(tables, orders_before(tables.orders, cuts[-1]))
     rows = rows.withColumn("cell", cell_of(F.col("purchase_ts"), cuts))
     by_cell = summary(rows, [PERSON, "cell"], MEASURES, tables.unique_orders)
-    # Snapshots a cell matters to: it ends before the snapshot, or lies in the snapshot's window.
-    users = F.array(
-        *[
-            _literals([n for n in range(len(snapshots)) if cell <= ends[n]]).cast("array<int>")
-            for cell in range(len(cuts))
-        ]
-    )
-    spread = by_cell.withColumn("snapshot", F.explode(users[F.col("cell")]))
+    # A cell matters to the snapshots from the first whose window reaches it. The few cells of a person are brought
+    # together before they are repeated per snapshot, so what is shuffled does not grow with the snapshots.
+    first = _literals([min(n for n, end in enumerate(ends) if cell <= end) for cell in range(len(cuts))])
+    number = F.explode(F.sequence(first[F.col("cell")], F.lit(len(snapshots) - 1)))
+    spread = by_cell.repartition(PERSON).withColumn("snapshot", number)
     past = F.col("cell") <= _literals(starts)[F.col("snapshot")]
     people = spread.groupBy(PERSON, "snapshot").agg(
         F.max(F.when(past, F.col(STATE))).alias(STATE),

@@ -15,6 +15,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A hot order id is split even when the aggregate after the join then needs one more exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Where every partition of a side is this small, a hash table of it is cheaper than sorting both sides.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 

@@ -11,12 +11,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.columns import PANEL_COLUMNS, PERSON, SNAPSHOT, SPLIT
 from tidemark.sources.files import scan_partitioned
 from tidemark.sources.tables import OrderTables
 
-SNAPSHOT = "snapshot_date"
-SPLIT = "split"
-
 
 def write_parts(df: DataFrame, path: str, columns: Sequence[str]) -> None:
     """Replace the partitions present in ``df`` and leave all others as they are."""
@@ -32,8 +30,6 @@ def write_panel(panel: DataFrame, path: str) -> None:
 def read_panel(spark: SparkSession, path: str) -> DataFrame:
     """A written panel in its original column order, the snapshot as text."""
     stored = scan_partitioned(spark, path, [SNAPSHOT])
-    from tidemark.plans.panel import PANEL_COLUMNS
-
     first = [c for c in PANEL_COLUMNS if c in stored.columns]
     return stored.select(*first, *[c for c in stored.columns if c not in first])
 
@@ -48,7 +44,7 @@ def write_splits(panel_with_split: DataFrame, path: str) -> None:
 
 def write_features_and_labels(split: DataFrame, features: Sequence[str], label: str, path: str) -> None:
     """Model inputs of all splits: the keys of a row, its features and its label."""
-    keys = [c for c in ("customer_unique_id", SNAPSHOT) if c in split.columns and c not in features]
+    keys = [c for c in (PERSON, SNAPSHOT) if c in split.columns and c not in features]
     write_parts(split.select(*keys, *features, label, SPLIT), path, [SPLIT])
 
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.times import as_timestamp
+from tidemark.functions.times import as_timestamp, instant
 
 # Raw column names and the names used here.
 ORDER_TIMES = {
@@ -64,6 +64,4 @@ def typed_tables(orders: DataFrame, customers: DataFrame, payments: DataFrame) -
 
 def orders_before(orders: DataFrame, cutoff) -> DataFrame:
     """Orders bought strictly before ``cutoff``; rows without a readable purchase time drop out."""
-    from tidemark.functions.times import instant
-
     return orders.filter(F.col("purchase_ts") < instant(cutoff))
