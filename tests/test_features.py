@@ -229,3 +229,11 @@ def test_snapshot_forms():
     assert snapshot("2017-09-01 12:30:00").at == dt.datetime(2017, 9, 1, 12, 30)
     with pytest.raises(ValueError):
         snapshot("yesterday")
+
+
+def test_strict_panel_has_strict_features(spark):
+    t = awkward_tables(spark)
+    panel = build_panel(t, SNAPSHOTS, stamp=False, strict_as_of=True)
+    for s in SNAPSHOTS:
+        part = panel.filter(F.col("snapshot_date") == s.label).select(*FEATURE_COLUMNS)
+        assert rows_of(part) == rows_of(point_in_time_features(t, s, strict_as_of=True))

@@ -40,8 +40,13 @@ def stamped(panel: DataFrame) -> DataFrame:
     return panel.withColumn(INGESTED_AT, utc_now())
 
 
-def union_panel(tables: OrderTables, snapshots: Sequence[Snapshot], days: int) -> DataFrame:
-    parts = [join_targets(point_in_time_features(tables, s), forward_targets(tables, s, days)) for s in snapshots]
+def union_panel(
+    tables: OrderTables, snapshots: Sequence[Snapshot], days: int, strict_as_of: bool = False
+) -> DataFrame:
+    parts = [
+        join_targets(point_in_time_features(tables, s, strict_as_of), forward_targets(tables, s, days))
+        for s in snapshots
+    ]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -133,10 +138,22 @@ PLANS = {"union": union_panel, "fan_out": fan_out_panel, "cells": cells_panel}
 
 
 def build_panel(
-    tables: OrderTables, snapshots: Sequence[Snapshot], days: int = 180, plan: str = "cells", stamp: bool = True
+    tables: OrderTables,
+    snapshots: Sequence[Snapshot],
+    days: int = 180,
+    plan: str = "cells",
+    stamp: bool = True,
+    strict_as_of: bool = False,
 ) -> DataFrame:
-    """One row per snapshot and person who ordered before it."""
-    panel = PLANS[plan](tables, snapshots, days)
+    """One row per snapshot and person who ordered before it.
+
+    ``strict_as_of`` hides deliveries after each snapshot. What an order adds then differs from snapshot to snapshot, which
+    only the ``union`` plan can follow.
+    """
+    if strict_as_of:
+        panel = union_panel(tables, snapshots, days, strict_as_of=True)
+    else:
+        panel = PLANS[plan](tables, snapshots, days)
     return stamped(panel) if stamp else panel
 
 

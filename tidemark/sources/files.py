@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 # Partition columns of the daily layout, and the file kinds a table may come in.
 DAY_COLUMNS = ["year", "month", "day"]
@@ -31,12 +29,17 @@ def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def scan_partitioned(spark: SparkSession, root: str, columns: Iterable[str] = DAY_COLUMNS) -> DataFrame:
-    """A partitioned Parquet tree whose partition columns stay text: month '06', not 6."""
-    text = set(columns)
-    found = spark.read.parquet(root).schema
-    fields = [StructField(f.name, StringType()) if f.name in text else f for f in found.fields]
-    return spark.read.schema(StructType(fields)).parquet(root)
+TYPED_PARTITIONS = "spark.sql.sources.partitionColumnTypeInference.enabled"
+
+
+def scan_partitioned(spark: SparkSession, root: str) -> DataFrame:
+    """A partitioned Parquet tree whose partition columns stay text: month '06', not 6. The folders are listed once."""
+    before = spark.conf.get(TYPED_PARTITIONS)
+    spark.conf.set(TYPED_PARTITIONS, "false")
+    try:
+        return spark.read.parquet(root)
+    finally:
+        spark.conf.set(TYPED_PARTITIONS, before)
 
 
 def scan_table(spark: SparkSession, folder: str, name: str, partitioned: bool = False) -> DataFrame:

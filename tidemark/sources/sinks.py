@@ -29,7 +29,7 @@ def write_panel(panel: DataFrame, path: str) -> None:
 
 def read_panel(spark: SparkSession, path: str) -> DataFrame:
     """A written panel in its original column order, the snapshot as text."""
-    stored = scan_partitioned(spark, path, [SNAPSHOT])
+    stored = scan_partitioned(spark, path)
     first = [c for c in PANEL_COLUMNS if c in stored.columns]
     return stored.select(*first, *[c for c in stored.columns if c not in first])
 
