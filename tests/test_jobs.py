@@ -62,6 +62,14 @@ def test_panel_job(panel_result, raw_tables):
     assert panel_result["checks"].filter("NOT passed").isEmpty()
 
 
+def test_typed_tables_can_be_kept(spark, raw_tables, panel_result, tmp_path):
+    result = panel_job(spark, raw_tables, RULES, SNAPSHOTS, str(tmp_path), store_typed=True)
+    assert result["panel"].drop("ingested_at_utc").exceptAll(panel_result["panel"].drop("ingested_at_utc")).isEmpty()
+    assert spark.read.parquet(str(tmp_path / "typed" / "orders.parquet")).schema["purchase_ts"].dataType.typeName() == (
+        "timestamp_ntz"
+    )
+
+
 def test_panel_job_stops_at_bad_tables(spark, raw_tables, tmp_path):
     bad = raw_tables | {"orders": raw_tables["orders"].unionByName(raw_tables["orders"].limit(1))}
     with pytest.raises(GateClosed) as stopped:
@@ -83,9 +91,10 @@ def test_training_job(trained, panel_result, tmp_path):
     assert trained.blueprint.count() == 9 and trained.importance.count() == 9 and len(trained.trials) == 2
     labels = [s.label for s in SNAPSHOTS]
     again = training_job(panel_result["panel"], labels[:2], labels[2], labels[3], str(tmp_path),
-                         champion=trained.model, draws=model.sampled_parameters(1, SMALL_SPACE), folds=2)
+                         champion=trained.model, draws=model.sampled_parameters(2, SMALL_SPACE), folds=2, threads=2)
     assert {r["model_id"] for r in again.metrics.collect()} == {"challenger", "champion"}
     assert again.decision.first()["champion_eroi"] is not None
+    assert again.trials == trained.trials  # fits that run together give the same models
 
 
 def write_lake(spark, raw_tables, folder):

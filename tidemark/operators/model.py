@@ -7,8 +7,10 @@ as such. Training data is read many times: pass tables that are stored, or cache
 from __future__ import annotations
 
 import random
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
@@ -139,7 +141,15 @@ def mean_log_loss(scored: DataFrame, probability) -> float:
     return scored.agg(F.avg(log_loss_term(F.col(LABEL), probability)).alias("loss")).first()["loss"]
 
 
-def search(train: DataFrame, val: DataFrame, features: Sequence[str], draws: list[dict]) -> tuple[dict, list[tuple]]:
+def at_a_time(spark: SparkSession, threads: int, function: Callable, items: Sequence) -> list:
+    """Results of ``function`` for all items in order, several running at a time."""
+    with ThreadPoolExecutor(threads) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(function), items))
+
+
+def search(
+    train: DataFrame, val: DataFrame, features: Sequence[str], draws: list[dict], threads: int = 1
+) -> tuple[dict, list[tuple]]:
     """The draw with the least log loss on ``val``, and all draws with their loss.
 
     Rounds that stop helping on ``val`` are not fitted.
@@ -151,12 +161,14 @@ def search(train: DataFrame, val: DataFrame, features: Sequence[str], draws: lis
         train.withColumn("is_val", F.lit(False)).unionByName(val.withColumn("is_val", F.lit(True))), weight
     )
     encoded = encoder.transform(both).select("features__vector", LABEL, WEIGHT, "is_val").persist()
+
+    def trial(draw: dict) -> tuple[dict, float]:
+        trees = boosted_trees(draw, largest_domain(encoder)).setValidationIndicatorCol("is_val")
+        scored = trees.fit(encoded).transform(encoded.filter("is_val"))
+        return draw, mean_log_loss(scored, positive("probability__"))
+
     try:
-        results = []
-        for draw in draws:
-            trees = boosted_trees(draw, largest_domain(encoder)).setValidationIndicatorCol("is_val")
-            scored = trees.fit(encoded).transform(encoded.filter("is_val"))
-            results.append((draw, mean_log_loss(scored, positive("probability__"))))
+        results = at_a_time(train.sparkSession, threads, trial, draws)
     finally:
         encoded.unpersist()
     return min(results, key=lambda r: r[1])[0], results
@@ -167,7 +179,9 @@ def fold_of(person: str = PERSON, folds: int = FOLDS):
     return F.pmod(F.xxhash64(F.col(person)), F.lit(folds)).cast("int")
 
 
-def train_model(train: DataFrame, features: Sequence[str], parameters: dict, folds: int = FOLDS) -> PipelineModel:
+def train_model(
+    train: DataFrame, features: Sequence[str], parameters: dict, folds: int = FOLDS, threads: int = 1
+) -> PipelineModel:
     """Boosted trees with isotonic calibration, averaged over folds, as one scoring model.
 
     Of each fold, trees are fitted to the other folds and calibrated on the fold itself.
@@ -177,20 +191,23 @@ def train_model(train: DataFrame, features: Sequence[str], parameters: dict, fol
     weight = class_balance(train).first()["positive_weight"]
     encoded = with_class_weight(encoder.transform(train), weight)
     encoded = encoded.select("features__vector", LABEL, WEIGHT, fold_of(folds=folds).alias("fold")).persist()
-    stages = list(encoder.stages)
+
+    def fold(k: int) -> list:
+        trees = boosted_trees(parameters, largest_domain(encoder), str(k)).fit(encoded.filter(F.col("fold") != k))
+        held_out = trees.transform(encoded.filter(F.col("fold") == k))
+        # Equal scores are merged before the isotonic fit, which gives the same curve from fewer points.
+        points = held_out.groupBy(positive(f"probability__{k}").alias("score")).agg(
+            F.avg(LABEL).alias("rate"), F.count(F.lit(1)).cast("double").alias("rows")
+        )
+        curve = IsotonicRegression(featuresCol="score", labelCol="rate", weightCol="rows").fit(points)
+        curve = curve.setFeaturesCol(f"probability__{k}").setFeatureIndex(1).setPredictionCol(f"calibrated__{k}")
+        return [trees, curve]
+
     try:
-        for k in range(folds):
-            trees = boosted_trees(parameters, largest_domain(encoder), str(k)).fit(encoded.filter(F.col("fold") != k))
-            held_out = trees.transform(encoded.filter(F.col("fold") == k))
-            # Equal scores are merged before the isotonic fit, which gives the same curve from fewer points.
-            points = held_out.groupBy(positive(f"probability__{k}").alias("score")).agg(
-                F.avg(LABEL).alias("rate"), F.count(F.lit(1)).cast("double").alias("rows")
-            )
-            curve = IsotonicRegression(featuresCol="score", labelCol="rate", weightCol="rows").fit(points)
-            curve = curve.setFeaturesCol(f"probability__{k}").setFeatureIndex(1).setPredictionCol(f"calibrated__{k}")
-            stages += [trees, curve]
+        fitted = at_a_time(train.sparkSession, threads, fold, range(folds))
     finally:
         encoded.unpersist()
+    stages = [*encoder.stages, *(stage for pair in fitted for stage in pair)]
     mean = " + ".join(f"calibrated__{k}" for k in range(folds))
     stages.append(SQLTransformer(statement=f"SELECT *, ({mean}) / {folds} AS {PROBABILITY} FROM __THIS__"))
     return PipelineModel(stages)

@@ -36,10 +36,12 @@ def panel_job(
     snapshots: Sequence[Snapshot],
     folder: str,
     days: int = 180,
+    store_typed: bool = False,
 ) -> dict[str, DataFrame]:
-    """Check raw tables, store them typed, build and store the panel. Gives the stored panel and its reports.
+    """Check raw tables, build and store the panel. Gives the stored panel and its reports.
 
-    Unique ids the checks have proven let the panel use a cheaper plan.
+    Unique ids the checks have proven let the panel use a cheaper plan. ``store_typed`` also keeps the parsed tables; the
+    panel reads each table once, so that pays only if other jobs read them too.
     """
     apply_settings(spark)
     checks = quality.check_tables(spark, raw, rule_file)
@@ -51,8 +53,9 @@ def panel_job(
     tables = typed_tables(raw["orders"], raw["customers"], raw["payments"]).with_proofs(
         unique_orders=("orders", "order_id") in proven, unique_customers=("customers", "customer_id") in proven
     )
-    stored = sinks.write_typed(spark, tables, f"{folder}/typed")
-    sinks.write_panel(build_panel(stored, snapshots, days), f"{folder}/panel")
+    if store_typed:
+        tables = sinks.write_typed(spark, tables, f"{folder}/typed")
+    sinks.write_panel(build_panel(tables, snapshots, days), f"{folder}/panel")
     panel = sinks.read_panel(spark, f"{folder}/panel")
     return {"panel": panel, "checks": checks, "profile": panel_profile(panel), "size": stored_size(panel)}
 
@@ -77,8 +80,12 @@ def training_job(
     champion: PipelineModel | None = None,
     draws: list[dict] | None = None,
     folds: int = model.FOLDS,
+    threads: int = 1,
 ) -> Trained:
-    """Split, search, train, calibrate, evaluate and compare with the current model. The model is stored."""
+    """Split, search, train, calibrate, evaluate and compare with the current model. The model is stored.
+
+    ``threads`` fits run at a time; a cluster that one fit does not fill gains from more.
+    """
     spark = apply_settings(panel.sparkSession)
     split = split_by_snapshot(panel, train, val, test)
     sinks.write_splits(split, f"{folder}/splits")
@@ -87,8 +94,8 @@ def training_job(
     names = feature_names(train_rows)
 
     draws = model.sampled_parameters(model.TRIALS) if draws is None else draws
-    best, trials = model.search(train_rows, val_rows, names, draws)
-    fitted = model.train_model(train_rows, names, best, folds)
+    best, trials = model.search(train_rows, val_rows, names, draws, threads)
+    fitted = model.train_model(train_rows, names, best, folds, threads)
     fitted.write().overwrite().save(f"{folder}/model")
 
     base = model.base_model(train_rows, names, best)
