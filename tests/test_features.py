@@ -160,6 +160,23 @@ def test_all_plans_give_the_same_rows(spark):
         assert rows_of(build_panel(t, some, days, "fan_out", stamp=False)) == expected
 
 
+def test_unique_orders_with_repeated_customers(spark):
+    """Order ids unique, customer ids not: copies in different states must not count an order twice."""
+    t = tables(
+        spark,
+        [order("1", "a", "2017-08-01"), order("2", "a", "2017-10-01"), order("3", "b", "2017-12-01")],
+        [("a", "A", "SP"), ("a", "A", "RJ"), ("a", "A", "RJ"), ("b", "A", "MG"), ("b", "B", "MG")],
+        [("1", 5.0), ("2", 7.0), ("3", 9.0)],
+    )
+    expected = rows_of(build_panel(t, SNAPSHOTS, plan="union", stamp=False))
+    for proven in (False, True):
+        for plan in PLANS:
+            some = t.with_proofs(unique_orders=proven, unique_customers=False)
+            assert rows_of(build_panel(some, SNAPSHOTS, plan=plan, stamp=False)) == expected
+    first = by_person(point_in_time_features(t, AT))["A"]
+    assert (first["frequency"], first["monetary_total"], first["customer_state"]) == (1, 15.0, "SP")
+
+
 def test_awkward_values(spark):
     panel = build_panel(awkward_tables(spark), SNAPSHOTS, stamp=False)
     at = {(r["customer_unique_id"], r["snapshot_date"]): r for r in panel.collect()}

@@ -51,31 +51,36 @@ def order_payments_for_hot_ids(payments: DataFrame) -> DataFrame:
     return payments.groupBy(F.struct("order_id").alias("order")).agg(paid).select("order.order_id", "order_payment_value")
 
 
-def customer_links(customers: DataFrame, unique: bool = False) -> DataFrame:
+def customer_links(customers: DataFrame, unique: bool = False, by_state: bool = False) -> DataFrame:
     """Which person a customer id belongs to, and how many rows say so.
 
     A repeated row multiplies money and cancellations of its orders. Counting the copies keeps that result
-    without joining each order to every copy.
+    without joining each order to every copy. With ``by_state`` copies in different states stay apart, which needs no
+    sorting; an order may then meet several rows of one person.
     """
     if unique:
         return customers.select("customer_id", PERSON, STATE, F.lit(1).alias("copies"))
-    return (
-        customers.filter(F.col("customer_id").isNotNull())
-        .groupBy("customer_id", PERSON)
-        .agg(F.max(STATE).alias(STATE), F.count(F.lit(1)).alias("copies"))
-    )
+    known = customers.filter(F.col("customer_id").isNotNull())
+    copies = F.count(F.lit(1)).alias("copies")
+    if by_state:
+        return known.groupBy("customer_id", PERSON, STATE).agg(copies)
+    return known.groupBy("customer_id", PERSON).agg(F.max(STATE).alias(STATE), copies)
 
 
-def orders_with_person(orders: DataFrame, customers: DataFrame, unique: bool = False) -> DataFrame:
-    """Orders of known customers. An order without a customer drops out."""
-    return orders.join(customer_links(customers, unique), "customer_id")
+def orders_with_person(
+    orders: DataFrame, customers: DataFrame, unique: bool = False, by_state: bool = False
+) -> DataFrame:
+    """Orders of known customers, with the number of ``copies`` of each link. An order without a customer drops out."""
+    return orders.join(customer_links(customers, unique, by_state), "customer_id")
 
 
 def enriched_orders(tables: OrderTables, orders: DataFrame | None = None) -> DataFrame:
     """Orders with person, state and money. The join on the order id comes last, so that a later grouping by
     order id finds its rows in place."""
     orders = tables.orders if orders is None else orders
-    linked = orders_with_person(orders, tables.customers, tables.unique_customers)
+    # Rows are counted as orders only where order ids are unique; elsewhere an order may have several rows.
+    by_state = not tables.unique_orders
+    linked = orders_with_person(orders, tables.customers, tables.unique_customers, by_state)
     paid = (order_payments if tables.unique_orders else order_payments_for_hot_ids)(tables.payments)
     return linked.join(paid, "order_id", "left")
 
@@ -85,7 +90,7 @@ def is_completed() -> Column:
 
 
 def activity(tables: OrderTables, orders: DataFrame | None = None) -> DataFrame:
-    """One row per order and person with all measures of that row."""
+    """Rows of one order and person with all measures. Their number is meaningless, their merge is not."""
     paid = F.col("order_payment_value")
     copies = F.col("copies")
     return enriched_orders(tables, orders).select(
