@@ -249,3 +249,36 @@ def feature_importance(spark, folder):
 def batch_scores(spark, folder):
     fitted, _, _, _ = _calibrated(spark, folder)
     return model.score(fitted, matrix(spark, folder))
+
+
+@query(
+    "m9_scored_rows",
+    with_base("SELECT *, TRUE AS is_probability, TRUE AS is_money_at_risk FROM matrix", sql.MATRIX),
+)
+def scored_rows(spark, folder):
+    """Every customer once with unchanged features, a probability, and money at risk that follows from it."""
+    fitted, _, _, _ = _calibrated(spark, folder)
+    rows = matrix(spark, folder)
+    scored = model.score(fitted, rows)
+    p = F.col(PROBABILITY)
+    return scored.select(
+        *rows.columns,
+        p.between(0.0, 1.0).alias("is_probability"),
+        F.col("revenue_at_risk").eqNullSafe(p * F.col("monetary_total")).alias("is_money_at_risk"),
+    )
+
+
+@query(
+    "m7_loaded_model_scores_alike",
+    with_base("SELECT customer_unique_id, TRUE AS same FROM split WHERE split = 'test'", sql.PANEL, sql.SPLIT),
+)
+def loaded_model_scores_alike(spark, folder):
+    """A model in memory and the same model loaded from storage give each test customer the same probability."""
+    from pyspark.ml import PipelineModel
+
+    fitted, _, _, test = _calibrated(spark, folder)
+    path = scratch_path(spark, "model")
+    fitted.write().save(path)
+    again = model.score(PipelineModel.load(path), test).select("customer_unique_id", F.col(PROBABILITY).alias("again"))
+    both = model.score(fitted, test).join(again, "customer_unique_id")
+    return both.select("customer_unique_id", (F.col(PROBABILITY) == F.col("again")).alias("same"))
