@@ -15,7 +15,7 @@ from tidemark.operators import contract, evaluate, model, quality, report
 from tidemark.operators.features import point_in_time_features
 from tidemark.operators.split import feature_names, features_of, one_split, split_by_snapshot
 from tidemark.plans.panel import build_panel, panel_profile
-from tidemark.session import apply_settings
+from tidemark.session import apply_settings, size_shuffles
 from tidemark.sources import sinks
 from tidemark.sources.files import days_until, scan_table, stored_size
 from tidemark.sources.tables import OrderTables, typed_customers, typed_orders, typed_payments, typed_tables
@@ -37,13 +37,17 @@ def panel_job(
     folder: str,
     days: int = 180,
     store_typed: bool = False,
+    shuffled_bytes: int | None = None,
 ) -> dict[str, DataFrame]:
     """Check raw tables, build and store the panel. Gives the stored panel and its reports.
 
     Unique ids the checks have proven let the panel use a cheaper plan. ``store_typed`` also keeps the parsed tables; the
-    panel reads each table once, so that pays only if other jobs read them too.
+    panel reads each table once, so that pays only if other jobs read them too. ``shuffled_bytes``, about the size of the
+    largest table, sizes the shuffles.
     """
     apply_settings(spark)
+    if shuffled_bytes is not None:
+        size_shuffles(spark, shuffled_bytes)
     checks = quality.check_tables(spark, raw, rule_file)
     sinks.write_checks(checks, f"{folder}/checks")
     checks = spark.read.schema(quality.CHECK_SCHEMA).json(f"{folder}/checks")

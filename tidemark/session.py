@@ -31,12 +31,19 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shuffle_partitions_for(shuffled_bytes: int, total_cores: int) -> int:
-    """Initial shuffle partitions so that one partition is about 128 MB and every core has work.
+def shuffle_partitions_for(shuffled_bytes: int, at_least: int) -> int:
+    """Shuffle partitions of about 128 MB each."""
+    return max(at_least, -(-shuffled_bytes // TARGET_PARTITION_BYTES))
 
-    Adaptive execution merges partitions that turn out small, so rounding up is cheap.
+
+def size_shuffles(spark: SparkSession, shuffled_bytes: int) -> None:
+    """Start shuffles with enough partitions for the given amount, so that none has to spill.
+
+    Adaptive execution merges partitions that turn out small, so a generous amount is cheap.
     """
-    return max(total_cores, -(-shuffled_bytes // TARGET_PARTITION_BYTES))
+    usual = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    wanted = shuffle_partitions_for(shuffled_bytes, usual)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
 
 
 def local_session(name: str = "tidemark", cores: int | str = "*", partitions: int = 8) -> SparkSession:

@@ -30,7 +30,7 @@ def day_columns(moment: Column) -> list[Column]:
 
 def write_day(df: DataFrame, root: str, day: date) -> None:
     """Replace one day, also by nothing. The commit of the write sets the marker."""
-    df.drop(*DAY_COLUMNS).write.mode("overwrite").parquet(day_folder(root, day))
+    df.drop(*DAY_COLUMNS).hint("rebalance").write.mode("overwrite").parquet(day_folder(root, day))
 
 
 def write_days(df: DataFrame, root: str) -> list[date]:
