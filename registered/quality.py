@@ -203,19 +203,22 @@ def _only(*rules: str) -> str:
     return f"SELECT * FROM ({ALL_SQL}) WHERE rule IN ({', '.join(repr(r) for r in rules)})"
 
 
-@query("d3_column_count", _only("table_present", "column_count"))
+# Rules on the schema are reported with the rules on the data they stand beside.
+
+
+@query("d3_column_count", _only("table_present", "column_count", "unique"))
 def column_count(spark, folder):
-    return _rules(spark, folder, "table_present", "column_count")
+    return _rules(spark, folder, "table_present", "column_count", "unique")
 
 
-@query("d4_column_presence", _only("column_present"))
+@query("d4_column_presence", _only("column_present", "missing_share"))
 def column_presence(spark, folder):
-    return _rules(spark, folder, "column_present")
+    return _rules(spark, folder, "column_present", "missing_share")
 
 
-@query("d5_data_types", _only("data_type"))
+@query("d5_data_types", _only("data_type", "allowed_values"))
 def data_types(spark, folder):
-    return _rules(spark, folder, "data_type")
+    return _rules(spark, folder, "data_type", "allowed_values")
 
 
 @query("d6_missing_share", SHARE_SQL)

@@ -1,8 +1,11 @@
 import datetime as dt
+import random
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from registered import sql
 from tests.orders import AT, by_person, order, tables
 from tidemark.functions.times import days_between, parse_timestamp, snapshot
 from tidemark.columns import FEATURE_COLUMNS, PANEL_COLUMNS
@@ -111,7 +114,7 @@ def test_delivery_measures(spark):
 SNAPSHOTS = [snapshot(s) for s in ("2017-09-01", "2017-11-01", "2018-01-01", "2018-03-01")]
 
 
-def awkward_tables(spark):
+def awkward_rows():
     """Repeated and missing ids, repeated customers, an order id in several cells, one hot person."""
     orders = [
         order("1", "a", "2017-08-01"),
@@ -139,7 +142,11 @@ def awkward_tables(spark):
     ]
     payments = [("1", 10.0), ("1", 5.0), ("2", 7.0), ("3", 1.0), ("4", 2.0), ("5", 3.0), (None, 99.0)]
     payments += [(f"h{i}", float(i)) for i in range(60)] + [("same", 2.0)] * 5
-    return tables(spark, orders, customers, payments)
+    return orders, customers, payments
+
+
+def awkward_tables(spark):
+    return tables(spark, *awkward_rows())
 
 
 def rows_of(df):
@@ -160,6 +167,54 @@ def test_all_plans_give_the_same_rows(spark):
         assert rows_of(build_panel(t, some, days, "fan_out", stamp=False)) == expected
 
 
+def random_rows(seed):
+    """Few ids and many rows, so that everything repeats and much is missing."""
+    rng = random.Random(seed)
+
+    def some(*values):
+        return rng.choice([*values, None])
+
+    def day():
+        return f"{rng.choice([2017, 2018])}-{rng.randrange(1, 13):02d}-{rng.choice([1, 15, 28]):02d}"
+
+    orders = [
+        order(some(*"abcdefghijkl"), some(*"123456"), some(day(), day(), "2017", day()), some(day(), day()),
+              some(day(), day()), some("delivered", "shipped", "canceled", "created"))
+        for _ in range(150)
+    ]
+    customers = [(some(*"1234567"), some("P", "Q", "R"), some("SP", "RJ")) for _ in range(12)]
+    payments = [(some(*"abcdefgh"), some(1.0, 2.5, 4.0)) for _ in range(40)]
+    return orders, customers, payments
+
+
+def sql_panel(orders, customers, payments):
+    """The panel as plain SQL, with every join row by row."""
+    con = duckdb.connect()
+    con.execute("CREATE TABLE raw (order_id VARCHAR, customer_id VARCHAR, bought VARCHAR, due VARCHAR, came VARCHAR, s VARCHAR)")
+    con.executemany("INSERT INTO raw VALUES (?, ?, ?, ?, ?, ?)", orders)
+    con.execute("CREATE TABLE c (customer_id VARCHAR, customer_unique_id VARCHAR, customer_state VARCHAR)")
+    con.executemany("INSERT INTO c VALUES (?, ?, ?)", customers)
+    con.execute("CREATE TABLE pay (order_id VARCHAR, payment_value DOUBLE)")
+    con.executemany("INSERT INTO pay VALUES (?, ?)", payments)
+    con.execute(
+        "CREATE VIEW o AS SELECT order_id, customer_id, TRY_CAST(bought AS TIMESTAMP) AS purchase_ts, "
+        "TRY_CAST(due AS TIMESTAMP) AS est_delivery_ts, TRY_CAST(came AS TIMESTAMP) AS act_delivery_ts, "
+        "s AS order_status FROM raw"
+    )
+    con.execute("CREATE VIEW opay AS SELECT order_id, SUM(payment_value) AS order_payment_value FROM pay GROUP BY order_id")
+    rows = con.execute(" UNION ALL ".join(sql.panel_part(s.label) for s in SNAPSHOTS)).fetchall()
+    return sorted(map(tuple, rows), key=str)
+
+
+@pytest.mark.parametrize("seed", [None, 1, 2])
+def test_panel_against_row_by_row_sql(spark, seed):
+    rows = awkward_rows() if seed is None else random_rows(seed)
+    expected = sql_panel(*rows)
+    assert len(expected) >= 8
+    for plan in PLANS:
+        assert rows_of(build_panel(tables(spark, *rows), SNAPSHOTS, plan=plan, stamp=False)) == expected
+
+
 def test_unique_orders_with_repeated_customers(spark):
     """Order ids unique, customer ids not: copies in different states must not count an order twice."""
     t = tables(

@@ -125,8 +125,8 @@ def training_job(
 
 
 def daily_tables(spark: SparkSession, folder: str, at: Snapshot) -> OrderTables:
-    """Tables of the daily layout. A day's folder holds the orders bought that day, so folders of the snapshot's day
-    and later cannot hold orders before a midnight snapshot and are not opened."""
+    """Tables of the daily layout. A day's folder holds the orders bought that day, so folders after the snapshot's day
+    hold no orders before the snapshot and are not opened."""
     orders = days_until(scan_table(spark, folder, "orders", partitioned=True), f"{at.at:%Y-%m-%d}")
     return OrderTables(
         typed_orders(orders),
