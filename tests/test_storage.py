@@ -157,6 +157,10 @@ def test_panel_keeps_its_columns(spark, tmp_path):
     read = sinks.read_panel(spark, str(tmp_path / "panel"))
     assert read.columns == panel.columns and rows_of(read) == rows_of(panel)
     one = read.filter(F.col("snapshot_date") == "2018-01-01")
+    # storing a panel of fewer snapshots leaves nothing of the larger one
+    sinks.write_panel(build_panel(awkward_tables(spark), SNAPSHOTS[:1], stamp=False), str(tmp_path / "panel"))
+    left = sinks.read_panel(spark, str(tmp_path / "panel")).select("snapshot_date").distinct().collect()
+    assert [r[0] for r in left] == [SNAPSHOTS[0].label]
     assert "PartitionFilters: [isnotnull(snapshot_date" in one._jdf.queryExecution().executedPlan().toString()
 
 

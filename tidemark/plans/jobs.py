@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import date
+from datetime import datetime, timezone
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -147,10 +147,10 @@ def scoring_job(
 ) -> dict[str, DataFrame]:
     """Build the feature matrix, check it against the model's contract, score it, store report and log.
 
-    Without a snapshot customers are scored as of today, 00:00.
+    Without a snapshot customers are scored as of today, 00:00 UTC.
     """
     spark = apply_settings(tables.orders.sparkSession)
-    at = snapshot(date.today()) if at is None else at
+    at = snapshot(datetime.now(timezone.utc).date()) if at is None else at
     sinks.write_matrix(point_in_time_features(tables, at), f"{folder}/matrix")
     matrix = spark.read.parquet(f"{folder}/matrix")
     checks = contract.check_contract(expected, matrix)

@@ -16,15 +16,15 @@ from tidemark.sources.files import scan_partitioned
 from tidemark.sources.tables import OrderTables
 
 
-def write_parts(df: DataFrame, path: str, columns: Sequence[str]) -> None:
-    """Replace the partitions present in ``df`` and leave all others as they are."""
+def write_parts(df: DataFrame, path: str, columns: Sequence[str], keep_others: bool = True) -> None:
+    """Replace the partitions present in ``df``; leave all others as they are, or remove them."""
     balanced = df.hint("rebalance", *[F.col(c) for c in columns])
-    writer = balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer = balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if keep_others else "static")
     writer.partitionBy(*columns).parquet(path)
 
 
 def write_panel(panel: DataFrame, path: str) -> None:
-    write_parts(panel, path, [SNAPSHOT])
+    write_parts(panel, path, [SNAPSHOT], keep_others=False)
 
 
 def read_panel(spark: SparkSession, path: str) -> DataFrame:
@@ -39,13 +39,13 @@ def write_matrix(matrix: DataFrame, path: str) -> None:
 
 
 def write_splits(panel_with_split: DataFrame, path: str) -> None:
-    write_parts(panel_with_split, path, [SPLIT])
+    write_parts(panel_with_split, path, [SPLIT], keep_others=False)
 
 
 def write_features_and_labels(split: DataFrame, features: Sequence[str], label: str, path: str) -> None:
     """Model inputs of all splits: the keys of a row, its features and its label."""
     keys = [c for c in (PERSON, SNAPSHOT) if c in split.columns and c not in features]
-    write_parts(split.select(*keys, *features, label, SPLIT), path, [SPLIT])
+    write_parts(split.select(*keys, *features, label, SPLIT), path, [SPLIT], keep_others=False)
 
 
 def write_report_csv(report: DataFrame, path: str) -> None:
