@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.common import table
+from tidemark.llm.quality import JUDGE_SQL, judge_quality
 from tidemark.llm.secrets import find_secrets
+from tidemark.llm.warc import read_archives, write_archives
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -26,3 +28,25 @@ def query(name: str, check: str | None = None):
 @query("op8_secret_scan")
 def secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return find_secrets(table(spark, folder, "documents"))
+
+
+@query("op5_line_frequency_quality", JUDGE_SQL)
+def line_frequency_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return judge_quality(table(spark, folder, "documents"))
+
+
+@query(
+    "op9_warc_round_trip",
+    """
+WITH p AS (SELECT page_id, COALESCE(html, '') AS h FROM pages),
+g AS (SELECT page_id, strlen(h) AS n, sha1(h) AS d FROM p),
+m AS (SELECT *, MAX(page_id) OVER (PARTITION BY d) AS largest FROM g)
+SELECT page_id, n AS payload_bytes, d AS payload_digest,
+       CASE WHEN n >= 1000 AND page_id < largest THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND page_id < largest THEN largest END AS refers_to
+FROM m""",
+)
+def warc_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    archives = write_archives(table(spark, folder, "pages"))
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    return read_archives(archives, with_payload=False).select(*columns)
