@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.common import table
+from tidemark.llm.line_dedup import remove_repeats
 from tidemark.llm.quality import JUDGE_SQL, judge_quality
 from tidemark.llm.secrets import find_secrets
+from tidemark.llm.simhash import near_duplicates
 from tidemark.llm.warc import read_archives, write_archives
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +52,13 @@ def warc_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     archives = write_archives(table(spark, folder, "pages"))
     columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     return read_archives(archives, with_payload=False).select(*columns)
+
+
+@query("op1_repeated_units")
+def repeated_units(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeats(table(spark, folder, "documents"))
+
+
+@query("op2_simhash_components")
+def simhash_components(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"))
