@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.common import table
+from tidemark.llm.language import identify_language
 from tidemark.llm.line_dedup import remove_repeats
 from tidemark.llm.quality import JUDGE_SQL, judge_quality
 from tidemark.llm.secrets import find_secrets
@@ -62,3 +63,8 @@ def repeated_units(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_simhash_components")
 def simhash_components(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
+
+
+@query("op7_language_models")
+def language_models(spark: SparkSession, folder: str) -> DataFrame:
+    return identify_language(table(spark, folder, "documents"))
