@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.common import table
+from tidemark.llm.decontaminate import find_leaks
 from tidemark.llm.language import identify_language
 from tidemark.llm.line_dedup import remove_repeats
 from tidemark.llm.quality import JUDGE_SQL, judge_quality
@@ -68,3 +69,8 @@ def simhash_components(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_language_models")
 def language_models(spark: SparkSession, folder: str) -> DataFrame:
     return identify_language(table(spark, folder, "documents"))
+
+
+@query("op6_benchmark_leaks")
+def benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    return find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
