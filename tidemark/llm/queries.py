@@ -10,6 +10,7 @@ from tidemark.llm.common import table
 from tidemark.llm.decontaminate import find_leaks
 from tidemark.llm.language import identify_language
 from tidemark.llm.line_dedup import remove_repeats
+from tidemark.llm.mixing import mix_sources
 from tidemark.llm.quality import JUDGE_SQL, judge_quality
 from tidemark.llm.secrets import find_secrets
 from tidemark.llm.simhash import near_duplicates
@@ -74,3 +75,8 @@ def language_models(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_benchmark_leaks")
 def benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
     return find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op4_entropy_balanced_mix")
+def entropy_balanced_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mix_sources(table(spark, folder, "documents"))
