@@ -14,6 +14,7 @@ from tidemark.llm.mixing import mix_sources
 from tidemark.llm.quality import JUDGE_SQL, judge_quality
 from tidemark.llm.secrets import find_secrets
 from tidemark.llm.simhash import near_duplicates
+from tidemark.llm.suffix_dedup import remove_earlier_strings
 from tidemark.llm.warc import read_archives, write_archives
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +81,8 @@ def benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
 @query("op4_entropy_balanced_mix")
 def entropy_balanced_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mix_sources(table(spark, folder, "documents"))
+
+
+@query("op10_suffix_repeats")
+def suffix_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_earlier_strings(table(spark, folder, "documents"))
