@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm.common import table
 from tidemark.llm.decontaminate import find_leaks
 from tidemark.llm.language import identify_language
+from tidemark.llm.licenses import PATH_SQL, check_sql, scan_licenses
 from tidemark.llm.line_dedup import remove_repeats
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.quality import JUDGE_SQL, judge_quality
@@ -86,3 +88,9 @@ def entropy_balanced_mix(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_suffix_repeats")
 def suffix_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return remove_earlier_strings(table(spark, folder, "documents"))
+
+
+@query("op3_license_scan", check_sql())
+def license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return scan_licenses(docs.select("doc_id", "text", F.expr(PATH_SQL).alias("path")))
