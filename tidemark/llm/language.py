@@ -225,9 +225,9 @@ def entropy_columns(columns: dict, models) -> dict:
 
 
 def predicted(rows: DataFrame, models: dict[str, Model], kind: str) -> DataFrame:
-    """(id, training, lang, pred, entropy, score, size) of rows with id, training, lang and t."""
+    """(id, held_out, lang, pred, entropy, score, size) of rows with id, held_out, lang and t."""
     shared = rows.sparkSession.sparkContext.broadcast(models)
-    schema = f"id {kind}, training boolean, lang string, pred string, entropy double, score double, size long"
+    schema = f"id {kind}, held_out boolean, lang string, pred string, entropy double, score double, size long"
     return map_columns(rows, entropy_columns, schema, shared)
 
 
@@ -237,11 +237,16 @@ def held_out(id_column: str) -> Column:
 
 
 def identify_language(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang", reject: float = REJECT
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    lang_column: str = "lang",
+    reject: float = REJECT,
+    split_column: str | None = None,
 ) -> DataFrame:
     """One row per input row: id, held_out, lang_pred, score, cross_entropy and rejected.
 
-    Models learn from rows that are not held out and have a language. ``lang_pred`` is a learned language, or ``und`` for null
+    Models learn from rows that have a language and are not held out by ``split_column`` (the id). ``lang_pred`` is a learned language, or ``und`` for null
     texts and texts without a letter; these have score 0 and are rejected. The score is the share of the best language when
     the languages' likelihoods per character are compared. A text is rejected too if its cross-entropy exceeds the mean of
     its language's training texts by ``reject`` of their standard deviations, which shrink with the root of the length, and
@@ -250,13 +255,13 @@ def identify_language(
     independent; other columns are ignored.
     """
     kind = docs.schema[id_column].dataType.simpleString()
-    training = ~held_out(id_column) & F.col(lang_column).isNotNull()
-    models = train(docs.where(training), text_column, lang_column)
+    out_of_training = held_out(split_column or id_column)
+    models = train(docs.where(~out_of_training), text_column, lang_column)
     rows = docs.select(
-        F.col(id_column).alias("id"), training.alias("training"), F.col(lang_column).cast("string").alias("lang"), F.col(text_column).alias("t")
+        F.col(id_column).alias("id"), out_of_training.alias("held_out"), F.col(lang_column).cast("string").alias("lang"), F.col(text_column).alias("t")
     )
     scored = stored(predicted(rows, models, kind), "language-scored")
-    right = scored.where(F.col("training") & (F.col("lang") == F.col("pred")))
+    right = scored.where(~F.col("held_out") & (F.col("lang") == F.col("pred")))
     means = right.groupBy("pred").agg(F.avg("entropy").alias("mean"))
     # Sums that one pass can merge: spread is the mean of n * (entropy - mean)^2.
     spread = F.avg(F.col("size") * F.col("entropy") * F.col("entropy")), F.avg(F.col("size") * F.col("entropy")), F.avg("size")
@@ -268,7 +273,7 @@ def identify_language(
     far = F.col("entropy") - F.col("mean") > F.greatest(reject * F.col("spread") / F.sqrt("size"), F.lit(REJECT_NATS))
     return out.select(
         F.col("id").alias(id_column),
-        held_out("id").alias("held_out"),
+        "held_out",
         F.col("pred").alias("lang_pred"),
         "score",
         F.col("entropy").alias("cross_entropy"),
