@@ -309,7 +309,13 @@ def last_snapshot_with_targets(spark, folder):
 # --- scalar functions
 
 # Every order's date as text, in forms that are and are not timestamps.
-RAW_TEXT_SQL = """SELECT o_orderkey, CASE o_orderkey % 9
+RAW_TEXT_SQL = """SELECT o_orderkey, CASE o_orderkey % 19
+  WHEN 9 THEN strftime(o_orderdate, '%Y/%m/%d') WHEN 10 THEN strftime(o_orderdate, '%Y/%m/%d 10:00:00')
+  WHEN 11 THEN strftime(o_orderdate, '%Y-%m-%d  10:00:00') WHEN 12 THEN strftime(o_orderdate, '%Y-%m-%d 24:00:00')
+  WHEN 13 THEN strftime(o_orderdate, ' %Y-%m-%d') WHEN 14 THEN strftime(o_orderdate, '%Y %m %d')
+  WHEN 15 THEN strftime(o_orderdate, '%Y') || chr(92) || strftime(o_orderdate, '%m') || chr(92) || strftime(o_orderdate, '%d')
+  WHEN 16 THEN '7' || substr(strftime(o_orderdate, '%Y-%m-%d'), 3) WHEN 17 THEN strftime(o_orderdate, '%Y-%m-%dT 10:00:00 ')
+  WHEN 18 THEN 'epoch'
   WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') WHEN 1 THEN strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S')
   WHEN 2 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 3 THEN strftime(o_orderdate, '%Y-%m')
   WHEN 4 THEN strftime(o_orderdate, '%Y') WHEN 5 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') || '+02:00'
@@ -322,7 +328,7 @@ RAW_TEXT_SQL = """SELECT o_orderkey, CASE o_orderkey % 9
     f"FROM ({RAW_TEXT_SQL})",
 )
 def parse_timestamp(spark, folder):
-    day, kind = F.col("o_orderdate"), F.col("o_orderkey") % 9
+    day, kind = F.col("o_orderdate"), F.col("o_orderkey") % 19
     full = F.date_format(day, "yyyy-MM-dd HH:mm:ss")
     forms = [
         full,
@@ -334,6 +340,16 @@ def parse_timestamp(spark, folder):
         F.lit(""),
         F.concat(F.date_format(day, "yyyy-MM"), F.lit("-32")),
         F.lit("unknown"),
+        F.date_format(day, "yyyy/MM/dd"),
+        F.date_format(day, "yyyy/MM/dd 10:00:00"),
+        F.date_format(day, "yyyy-MM-dd  10:00:00"),
+        F.date_format(day, "yyyy-MM-dd 24:00:00"),
+        F.date_format(day, " yyyy-MM-dd"),
+        F.date_format(day, "yyyy MM dd"),
+        F.date_format(day, "yyyy\\MM\\dd"),
+        F.concat(F.lit("7"), F.substring(F.date_format(day, "yyyy-MM-dd"), 3, 20)),
+        F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit("T 10:00:00 ")),
+        F.lit("epoch"),
     ]
     raw = F.coalesce(*[F.when(kind == i, form) for i, form in enumerate(forms)])
     rows = data.table(spark, folder, "orders").select("o_orderkey", raw.alias("raw"))

@@ -19,13 +19,10 @@ from tidemark.sources import sinks
 
 # Small settings: what is trained here shows the operators, not a good model.
 SMALL = {
-    "rounds": 4, "learning_rate": 0.1, "depth": 3, "rows_per_leaf": 1, "row_share": 0.9, "column_share": 0.9,
-    "least_gain": 0.0,
-}
-SMALL_SPACE = {
-    "rounds": (2, 4, 1), "learning_rate": (0.01, 0.1, None), "depth": (2, 3, 1), "rows_per_leaf": (1, 10, 1),
-    "row_share": (0.6, 1.0, None), "column_share": (0.6, 1.0, None), "least_gain": (0.0, 5.0, None),
+    "maxIter": 4, "stepSize": 0.1, "maxDepth": 3, "minInstancesPerNode": 1, "subsamplingRate": 0.9,
+    "featureSubsetStrategy": 0.9, "minInfoGain": 0.0,
 }
+SMALL_SPACE = model.SEARCH_SPACE | {"maxIter": (2, 4, 1), "maxDepth": (2, 3, 1)}
 
 
 def predictions(spark, folder):
@@ -163,10 +160,9 @@ def stored_split(spark, folder):
 )
 def category_codes(spark, folder):
     rows = split_panel(spark, folder)
-    encoder = model.category_encoder(split.one_split(rows, "train"), ["customer_state"])
-    return encoder.transform(rows).select(
-        "customer_unique_id", "snapshot_date", "customer_state",
-        F.col("customer_state" + model.CODE).cast("int").alias("code"),
+    codes = model.category_codes(split.one_split(rows, "train"), "customer_state")
+    return model.with_codes(rows, codes, "customer_state").select(
+        "customer_unique_id", "snapshot_date", "customer_state", F.col("customer_state" + model.CODE).alias("code")
     )
 
 
@@ -175,10 +171,10 @@ def category_codes(spark, folder):
 def unknown_category(spark, folder):
     """States the encoder never saw, and missing ones, get the code after the last."""
     rows = matrix(spark, folder)
-    encoder = model.category_encoder(rows, ["customer_state"])
+    codes = model.category_codes(rows, "customer_state")
     odd = F.when(F.col("customer_unique_id") % 2 == 0, F.concat(F.lit("new "), F.col("customer_state")))
-    coded = encoder.transform(rows.withColumn("customer_state", odd))
-    return coded.select("customer_unique_id", F.col("customer_state" + model.CODE).cast("int").alias("code"))
+    coded = model.with_codes(rows.withColumn("customer_state", odd), codes, "customer_state")
+    return coded.select("customer_unique_id", F.col("customer_state" + model.CODE).alias("code"))
 
 
 @query(
@@ -200,7 +196,7 @@ def parameter_search(spark, folder):
     train, val, _ = stored_split(spark, folder)
     draws = model.sampled_parameters(3, SMALL_SPACE)
     _, results = model.search(train, val, split.feature_names(train), draws)
-    rows = [(i, draw["rounds"], draw["depth"], draw["learning_rate"], loss) for i, (draw, loss) in enumerate(results)]
+    rows = [(i, draw["maxIter"], draw["maxDepth"], draw["stepSize"], loss) for i, (draw, loss) in enumerate(results)]
     return spark.createDataFrame(rows, "trial int, rounds int, depth int, learning_rate double, val_log_loss double")
 
 
@@ -240,8 +236,7 @@ def feature_importance(spark, folder):
     train, val, _ = stored_split(spark, folder)
     names = split.feature_names(train)
     fitted = model.base_model(train, names, SMALL)
-    sample = model.seeded_sample(val, keys=["customer_unique_id", "snapshot_date"])
-    dealt = model.permutation_importance(fitted, sample, model.positive("probability__"), names)
+    dealt = model.permutation_importance(fitted, val, model.positive("probability__"), names)
     return dealt.join(model.tree_importance(fitted, names), "feature")
 
 

@@ -3,10 +3,12 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from pyspark.ml import PipelineModel
+
 from registered.models import SMALL_SPACE
 from tests.orders import order, raw
 from tidemark.functions.times import snapshot
-from tidemark.operators import model
+from tidemark.operators import evaluate, model
 from tidemark.columns import FEATURE_COLUMNS, PANEL_COLUMNS
 from tidemark.operators.features import point_in_time_features
 from tidemark.plans.jobs import GateClosed, daily_tables, panel_job, scoring_job, training_job
@@ -97,6 +99,37 @@ def test_training_job(trained, panel_result, tmp_path):
     assert again.trials == trained.trials  # fits that run together give the same models
 
 
+def test_only_an_approved_model_is_stored(spark, panel_result, tmp_path, monkeypatch):
+    labels = [s.label for s in SNAPSHOTS]
+    draws = model.sampled_parameters(1, SMALL_SPACE)
+    decision = evaluate.decision
+    for approved in (False, True, False):
+        stored = PipelineModel.load(str(tmp_path / "model")).uid if (tmp_path / "model").exists() else None
+
+        def answer(metrics, *rivals, yes=approved):
+            return decision(metrics, *rivals).withColumn("approved", F.lit(yes))
+
+        monkeypatch.setattr(evaluate, "decision", answer)
+        training_job(panel_result["panel"], labels[:2], labels[2], labels[3], str(tmp_path), draws=draws, folds=2)
+        after = PipelineModel.load(str(tmp_path / "model")).uid if (tmp_path / "model").exists() else None
+        assert (after != stored) == approved
+        assert (tmp_path / "contract" / "features").exists() == (after is not None)
+        for name, rows in (("metrics", 1), ("decision", 1), ("importance", 9), ("trials", 1)):
+            assert spark.read.parquet(str(tmp_path / "reports" / name)).count() == rows
+
+
+def test_scoring_reads_the_stored_contract(spark, raw_tables, trained, tmp_path):
+    trained.blueprint.withColumn("max", F.when(F.col("name") == "recency_days", 1.0).otherwise(F.col("max"))).write.json(
+        str(tmp_path / "contract" / "features")
+    )
+    trained.categories.where("value <> 'SP'").write.parquet(str(tmp_path / "contract" / "categories"))
+    result = scoring_job(
+        typed_tables(**raw_tables), trained.model, str(tmp_path / "contract"), str(tmp_path / "run"), SNAPSHOTS[2]
+    )
+    warned = {r["feature"] for r in result["checks"].filter("severity = 'warn' AND NOT passed").collect()}
+    assert {"recency_days", "customer_state"} <= warned
+
+
 def write_lake(spark, raw_tables, folder):
     orders = raw_tables["orders"]
     moment = F.col("order_purchase_timestamp").cast("timestamp_ntz")
@@ -128,5 +161,5 @@ def test_scoring_job_stops_at_a_broken_contract(spark, raw_tables, trained, tmp_
         scoring_job(tables, trained.model, [("unknown_feature", "bigint")], str(tmp_path), SNAPSHOTS[2])
     with pytest.raises(GateClosed) as stopped:
         scoring_job(tables, trained.model, [("recency_days", "bigint")], str(tmp_path), snapshot("2000-01-01"))
-    assert [r["rule"] for r in stopped.value.checks.collect()] == ["population"]
+    assert [r["rule"] for r in stopped.value.checks.filter("severity = 'error'").collect()] == ["population"]
     assert not (tmp_path / "log").exists()

@@ -31,15 +31,32 @@ def scores(fitted, rows):
 
 def test_codes_follow_the_alphabet_and_unknown_is_last(spark):
     train = spark.createDataFrame([("b",), ("a",), (None,), ("b",)], "s string")
-    encoder = model.category_encoder(train, ["s"])
+    codes = model.category_codes(train, "s")
     other = spark.createDataFrame([("a",), ("b",), ("z",), (None,)], "s string")
-    assert [r[1] for r in encoder.transform(other).collect()] == [0.0, 1.0, 2.0, 2.0]
+    coded = {r["s"]: r["s" + model.CODE] for r in model.with_codes(other, codes, "s").collect()}
+    assert coded == {"a": 0, "b": 1, "z": 2, None: 2}
 
 
-def test_too_many_categories_are_refused(spark, monkeypatch):
-    monkeypatch.setattr(model, "MAX_CATEGORIES", 5)
-    with pytest.raises(ValueError):
-        model.category_encoder(spark.range(100).select(F.col("id").cast("string").alias("s")), ["s"])
+def test_codes_of_many_values(spark):
+    many = spark.range(30_000).select(F.format_string("v%05d", F.col("id")).alias("s"))
+    codes = model.category_codes(many.union(many), "s")
+    assert codes.where(F.col("code") != F.substring("value", 2, 5).cast("int")).isEmpty() and codes.count() == 30_000
+
+
+def test_trains_on_many_categories(spark):
+    """A text with 50,000 values, one of which decides the label, beside a useful one with few."""
+    rows = spark.range(60_000).select(
+        F.col("id").cast("string").alias("customer_unique_id"),
+        F.format_string("v%d", F.col("id") % 50_000).alias("many"),
+        F.when(F.col("id") % 3 == 0, "x").when(F.col("id") % 3 == 1, "y").alias("few"),
+        F.when(F.col("id") % 3 == 0, 1).otherwise(0).alias(LABEL),
+    )
+    base = model.base_model(rows, ["many", "few"], SMALL)
+    gains = {r[0]: r[1] for r in model.tree_importance(base, ["many", "few"]).collect()}
+    assert gains["few"] > 0.5
+    schema = f"customer_unique_id string, many string, few string, {LABEL} int"
+    unseen = spark.createDataFrame([("p", "new value", "new value", 0), ("q", None, None, 0)], schema)
+    assert base.transform(unseen).count() == 2
 
 
 def test_scores_are_probabilities_and_repeat(parts, fitted, tmp_path):
@@ -70,8 +87,7 @@ def test_learns_something(spark):
     scored = model.score(fitted, rows)
     assert model.mean_log_loss(scored, F.col(PROBABILITY)) < 0.05
     base = model.base_model(rows, ["days", "noise"], SMALL)
-    sample = model.seeded_sample(rows, 500)
-    losses = model.permutation_importance(base, sample, model.positive("probability__"), ["days", "noise"])
+    losses = model.permutation_importance(base, rows, model.positive("probability__"), ["days", "noise"])
     lost = {r[0]: r[1] for r in losses.collect()}
     assert lost["days"] > 0.05 > abs(lost["noise"])
     gains = {r[0]: r[1] for r in model.tree_importance(base, ["days", "noise"]).collect()}
@@ -86,6 +102,23 @@ def test_search_takes_the_least_loss(parts):
     assert best == min(results, key=lambda r: r[1])[0]
 
 
+def test_search_scores_what_would_be_trained(spark):
+    rows = spark.range(1500).select(
+        F.col("id").cast("string").alias("customer_unique_id"),
+        (F.col("id") % 100).alias("days"),
+        F.when((F.col("id") % 100 > 60) != (F.xxhash64("id") % 7 == 0), 1).otherwise(0).alias(LABEL),
+    )
+    train, val = rows.where("customer_unique_id % 3 > 0"), rows.where("customer_unique_id % 3 = 0")
+    draws = [SMALL | {"stepSize": rate, "maxIter": rounds} for rate, rounds in ((0.01, 6), (0.05, 6), (0.1, 6), (0.1, 12))]
+    _, results = model.search(train, val, ["days"], draws)
+    losses = [loss for _, loss in results]
+    assert losses == sorted(losses, reverse=True) and len(set(losses)) == 4
+    for draw, loss in results:
+        fitted = model.base_model(train, ["days"], draw)
+        assert fitted.stages[-1].getNumTrees == draw["maxIter"]
+        assert model.mean_log_loss(fitted.transform(val), model.positive("probability__")) == pytest.approx(loss, abs=1e-9)
+
+
 def test_search_space_is_kept():
     for draw in model.sampled_parameters(50):
         for name, (low, high, step) in model.SEARCH_SPACE.items():

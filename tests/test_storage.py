@@ -1,4 +1,5 @@
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -148,6 +149,20 @@ def test_publishing_needs_both_files(spark, tmp_path):
     assert files.scan_partitioned(spark, f"{base}/logs").first()["month"] == "06"
 
 
+def test_published_reports_are_unchanged(spark, tmp_path):
+    """Reports of other columns, and rows without a probability, arrive as they were written."""
+    base = str(tmp_path)
+    log = spark.createDataFrame([("a", 1.0, 0.9, 0.9)], SCORED)
+    sinks.write_log(log, f"{base}/log")
+    three = spark.createDataFrame([("a", 0.9, 5.0), ('b "x",\ny', None, 3.0)], "id string, predicted_probability double, revenue_at_risk double")
+    sinks.write_report_csv(three.coalesce(1), f"{base}/report")
+    for day in (FIRST, FIRST):  # publishing again replaces the day
+        target, _ = daily.publish_reports(spark, f"{base}/report", f"{base}/log", f"{base}/reports", f"{base}/logs", day)
+    sent = {p.name: p.read_bytes() for p in (tmp_path / "report").glob("part-*")}
+    assert sent == {p.name: p.read_bytes() for p in Path(target).glob("part-*")}
+    assert files.scan_csv(spark, target).columns == three.columns
+
+
 def test_panel_keeps_its_columns(spark, tmp_path):
     from tests.test_features import SNAPSHOTS, awkward_tables, rows_of
     from tidemark.plans.panel import build_panel

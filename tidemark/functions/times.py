@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, TimestampNTZType
 
-# Year, month and day are all required; a time, if any, needs hours and minutes. Spark's own cast also takes
-# '2017', '2017-09', padded text and bare hours, which are not timestamps here.
-TIMESTAMP_TEXT = r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:.*[^\s])?$"
+# Year, month and day are all required; a time, if any, needs hours and minutes. Blanks may lead, and stand before the time;
+# month and day follow the same sign. Spark's own cast also takes '2017', '2017-09' and bare hours, which are not timestamps.
+TIMESTAMP_TEXT = r"^\s*(\d{1,6})([-/\\ ])(\d{1,2})\2(\d{1,2})(?:(?:T\s*|\s+)(\d{1,2}:.*?):?\s*)?$"
+MIDNIGHT = r"^24:00(:00(\.0*)?)?$"
 
 
 class Snapshot(NamedTuple):
@@ -41,9 +42,26 @@ def instant(value: datetime) -> Column:
 def parse_timestamp(text: Column) -> Column:
     """Timestamp of a text column, NULL where the text is not a full date or date and time.
 
-    A zone offset is dropped and the wall clock kept.
+    A zone offset is dropped and the wall clock kept. 24:00 is the start of the next day; 'epoch' is a timestamp too.
+    Infinite times and years before 1 cannot be held and are NULL; ``unreadable_times`` counts what was lost.
     """
-    return F.when(text.rlike(TIMESTAMP_TEXT), text.try_cast("timestamp_ntz"))
+
+    def part(n: int) -> Column:
+        return F.regexp_extract(text, TIMESTAMP_TEXT, n)
+
+    year = F.when(F.length(part(1)) < 4, F.lpad(part(1), 4, "0")).otherwise(part(1))
+    day, time = F.concat_ws("-", year, part(3), part(4)), part(5)
+    at = F.when(time == "", day).otherwise(F.concat_ws(" ", day, time)).try_cast("timestamp_ntz")
+    next_day = day.try_cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY")
+    known = F.when(time.rlike(MIDNIGHT), next_day).otherwise(at)
+    epoch = F.when(F.lower(F.trim(text)) == "epoch", F.lit("1970-01-01").cast("timestamp_ntz"))
+    return F.when(text.rlike(TIMESTAMP_TEXT), known).otherwise(epoch)
+
+
+def unreadable_times(df: DataFrame, name: str) -> DataFrame:
+    """Number of texts in a column that are there but are no timestamp: (column_name, unreadable)."""
+    lost = F.col(name).isNotNull() & as_timestamp(df, name).isNull()
+    return df.agg(F.count_if(lost).alias("unreadable")).select(F.lit(name).alias("column_name"), "unreadable")
 
 
 def as_timestamp(df: DataFrame, name: str) -> Column:

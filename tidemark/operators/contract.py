@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -183,6 +183,23 @@ def domain_warnings(blueprint: DataFrame, categories: DataFrame, matrix: DataFra
     return reduce(DataFrame.unionByName, results)
 
 
+def extra_feature_warnings(expected: list[tuple[str, str]], matrix: DataFrame) -> DataFrame:
+    """A warning for each feature of the matrix that the model does not know."""
+    known = {name for name, _ in expected}
+    rows = [(c, "extra", "warn", False, "not a feature of the model", c) for c in feature_names(matrix) if c not in known]
+    kinds = "feature string, rule string, severity string, passed boolean, expected string, observed string"
+    return matrix.sparkSession.createDataFrame(rows, kinds)
+
+
+def read_contract(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The stored blueprint and categories of a model."""
+    schema = (
+        "name string, index int, physical_type string, is_nullable boolean, logical_type string, min double, max double, "
+        "allowed_values array<double>"
+    )
+    return spark.read.schema(schema).json(f"{folder}/features"), spark.read.parquet(f"{folder}/categories")
+
+
 def contract_result(checks: DataFrame) -> DataFrame:
     """Validity and number of errors."""
     errors = F.count_if((F.col("severity") == "error") & ~F.col("passed"))

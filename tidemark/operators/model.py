@@ -7,16 +7,18 @@ as such. Training data is read many times: pass tables that are stored, or cache
 from __future__ import annotations
 
 import random
+import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, TargetEncoder, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +26,7 @@ from tidemark.columns import LABEL, PERSON, PROBABILITY
 from tidemark.functions.scores import log_loss_term
 from tidemark.operators.report import with_revenue_at_risk
 from tidemark.operators.split import class_balance
+from tidemark.operators.numbering import numbered
 from tidemark.session import shared_folder
 
 # Seed, calibration folds, size of the importance sample, number of search trials.
@@ -32,8 +35,10 @@ FOLDS = 5
 SAMPLE_ROWS = 2000
 TRIALS = 30
 
-#: Labels a text feature may have. They are kept on the driver and in every tree split.
-MAX_CATEGORIES = 10_000
+#: Text values meet the trees as the target rate of one of so many hash slots, so no model grows with its categories.
+SLOTS = 1 << 16
+#: Rows that the overall rate counts for in the rate of a slot.
+SMOOTHING = 10.0
 
 CODE = "__code"
 WEIGHT = "__weight"
@@ -43,18 +48,58 @@ def text_features(df: DataFrame, names: Sequence[str]) -> list[str]:
     return [c for c in names if isinstance(df.schema[c].dataType, T.StringType)]
 
 
-def category_encoder(train: DataFrame, columns: Sequence[str]):
-    """Codes of text values in alphabetical order, learned from ``train``. Unknown values and NULL share the next code."""
-    sizes = train.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first()
-    large = [c for c in columns if sizes[c] > MAX_CATEGORIES]
-    if large:
-        raise ValueError(f"too many categories in {large}")
-    return StringIndexer(
-        inputCols=list(columns),
-        outputCols=[c + CODE for c in columns],
-        stringOrderType="alphabetAsc",
-        handleInvalid="keep",
-    ).fit(train)
+def category_codes(train: DataFrame, column: str) -> DataFrame:
+    """(value, code): the text values of a column in alphabetical order, numbered from 0 without a one-task window."""
+    values = train.select(F.col(column).alias("value")).where(F.col(column).isNotNull()).distinct()
+    return numbered(values, ["value"], "code")
+
+
+def with_codes(df: DataFrame, codes: DataFrame, column: str) -> DataFrame:
+    """Adds the code of ``column``; unknown values and NULL share the code after the last."""
+    known = codes.select(F.col("value").alias("__value"), F.col("code").alias("__known"))
+    last = codes.count()
+    coded = df.join(known, F.col(column) == F.col("__value"), "left")
+    return coded.withColumn(column + CODE, F.coalesce("__known", F.lit(last)).cast("int")).drop("__value", "__known")
+
+
+def _slots(names: Sequence[str]) -> SQLTransformer:
+    """The hash slot of each text; NULL has one of its own."""
+    slots = ", ".join(f"cast(if({c} IS NULL, {SLOTS}, pmod(xxhash64({c}), {SLOTS})) AS double) AS {c}__slot" for c in names)
+    return SQLTransformer(statement=f"SELECT *, {slots} FROM __THIS__")
+
+
+def category_rates(train: DataFrame, names: Sequence[str]) -> list:
+    """Stages from texts to the smoothed target rate of their slot; slots not seen in training get the overall rate."""
+    slots = _slots(names)
+    # The encoder marks its output as categories; a computed copy is a plain number to the trees.
+    rates = ", ".join(f"{c}{CODE} + 0.0D AS {c}__rate" for c in names)
+    plain = SQLTransformer(statement=f"SELECT *, {rates} FROM __THIS__")
+    return [slots, _rate_encoder(names).fit(slots.transform(train)), plain]
+
+
+def _rate_encoder(names: Sequence[str]) -> TargetEncoder:
+    return TargetEncoder(
+        inputCols=[c + "__slot" for c in names], outputCols=[c + CODE for c in names], labelCol=LABEL,
+        targetType="binary", handleInvalid="keep", smoothing=SMOOTHING,
+    )
+
+
+def encode_training(encoder: PipelineModel, train: DataFrame, features: Sequence[str], folds: int = FOLDS) -> DataFrame:
+    """``train`` encoded for fitting. The rate of a row's text comes from the other folds, so no row tells its own label."""
+    texts = text_features(train, features)
+    if not texts:
+        return encoder.transform(train)
+    rows = encoder.stages[0].transform(train.withColumn("__fold", fold_of(folds=folds)))
+    parts = []
+    for k in range(folds):
+        own, others = rows.where(F.col("__fold") == k), rows.where(F.col("__fold") != k)
+        if others.isEmpty():
+            others = own
+        parts.append(_rate_encoder(texts).fit(others).transform(own))
+    encoded = reduce(DataFrame.unionByName, parts)
+    for stage in encoder.stages[2:]:
+        encoded = stage.transform(encoded)
+    return encoded.drop("__fold")
 
 
 def _missing_numbers(names: Sequence[str]) -> SQLTransformer:
@@ -68,32 +113,24 @@ def encoding(train: DataFrame, features: Sequence[str]) -> PipelineModel:
     """From feature columns to the vector ``features__vector``, learned from ``train``."""
     texts = text_features(train, features)
     numbers = [c for c in features if c not in texts]
-    inputs = [c + CODE for c in texts] + [c + s for s in ("__value", "__missing") for c in numbers]
-    stages = [category_encoder(train, texts)] if texts else []
+    inputs = [c + "__rate" for c in texts] + [c + s for s in ("__value", "__missing") for c in numbers]
+    stages = category_rates(train, texts) if texts else []
     stages += [_missing_numbers(numbers)] if numbers else []
     return PipelineModel(stages + [VectorAssembler(inputCols=inputs, outputCol="features__vector")])
 
 
-def largest_domain(encoder: PipelineModel) -> int:
-    """Most codes of any text feature."""
-    indexers = [s for s in encoder.stages if hasattr(s, "labelsArray")]
-    return max([len(labels) + 1 for s in indexers for labels in s.labelsArray], default=2)
-
-
-# The search space, as lowest value, highest value and step (None: any value between).
+# The search space, as lowest value, highest value and step (None: any value between). The names are those of
+# the trees' parameters; featureSubsetStrategy is a share of the columns.
 SEARCH_SPACE = {
-    "rounds": (100, 500, 50),
-    "learning_rate": (0.01, 0.1, None),
-    "depth": (3, 7, 1),
-    "rows_per_leaf": (1, 10, 1),
-    "row_share": (0.6, 1.0, None),
-    "column_share": (0.6, 1.0, None),
-    "least_gain": (0.0, 5.0, None),
+    "maxIter": (100, 500, 50),
+    "stepSize": (0.01, 0.1, None),
+    "maxDepth": (3, 7, 1),
+    "minInstancesPerNode": (1, 10, 1),
+    "subsamplingRate": (0.6, 1.0, None),
+    "featureSubsetStrategy": (0.6, 1.0, None),
+    "minInfoGain": (0.0, 0.005, None),
 }
-LOG_SCALE = {"learning_rate"}
-
-#: The space gives the least gain of a split in units of total loss; Spark wants it per row, as drop of variance.
-GAIN_SCALE = 1000.0
+LOG_SCALE = {"stepSize"}
 
 
 def sampled_parameters(trials: int, space: dict = SEARCH_SPACE, seed: int = SEED) -> list[dict]:
@@ -110,22 +147,12 @@ def sampled_parameters(trials: int, space: dict = SEARCH_SPACE, seed: int = SEED
     return [{name: draw(name, *limits) for name, limits in space.items()} for _ in range(trials)]
 
 
-def boosted_trees(parameters: dict, bins: int, tag: str = "") -> GBTClassifier:
+def boosted_trees(parameters: dict, tag: str = "") -> GBTClassifier:
+    share = str(round(parameters["featureSubsetStrategy"], 4))
     trees = GBTClassifier(
-        featuresCol="features__vector",
-        labelCol=LABEL,
-        weightCol=WEIGHT,
-        predictionCol=f"prediction__{tag}",
-        maxIter=parameters["rounds"],
-        stepSize=parameters["learning_rate"],
-        maxDepth=parameters["depth"],
-        minInstancesPerNode=parameters["rows_per_leaf"],
-        subsamplingRate=parameters["row_share"],
-        featureSubsetStrategy=str(round(parameters["column_share"], 4)),
-        minInfoGain=parameters["least_gain"] / GAIN_SCALE,
-        maxBins=max(32, bins),
-        seed=SEED,
-    )
+        featuresCol="features__vector", labelCol=LABEL, weightCol=WEIGHT, predictionCol=f"prediction__{tag}", seed=SEED,
+        **parameters | {"featureSubsetStrategy": share},
+    )
     return trees.setProbabilityCol(f"probability__{tag}").setRawPredictionCol(f"raw__{tag}")
 
 
@@ -152,19 +179,18 @@ def search(
 ) -> tuple[dict, list[tuple]]:
     """The draw with the least log loss on ``val``, and all draws with their loss.
 
-    Rounds that stop helping on ``val`` are not fitted.
+    Each draw is fitted to ``train`` with all its rounds, as the model that would be trained with it.
     """
     shared_folder(train.sparkSession)  # where boosting rounds cut their lineage
     encoder = encoding(train, features)
     weight = class_balance(train).first()["positive_weight"]
-    both = with_class_weight(
-        train.withColumn("is_val", F.lit(False)).unionByName(val.withColumn("is_val", F.lit(True))), weight
-    )
-    encoded = encoder.transform(both).select("features__vector", LABEL, WEIGHT, "is_val").persist()
+    columns = ["features__vector", LABEL, WEIGHT, "is_val"]
+    fitting = with_class_weight(encode_training(encoder, train, features), weight).withColumn("is_val", F.lit(False))
+    judging = with_class_weight(encoder.transform(val), weight).withColumn("is_val", F.lit(True))
+    encoded = fitting.select(*columns).unionByName(judging.select(*columns)).persist()
 
     def trial(draw: dict) -> tuple[dict, float]:
-        trees = boosted_trees(draw, largest_domain(encoder)).setValidationIndicatorCol("is_val")
-        scored = trees.fit(encoded).transform(encoded.filter("is_val"))
+        scored = boosted_trees(draw).fit(encoded.filter("NOT is_val")).transform(encoded.filter("is_val"))
         return draw, mean_log_loss(scored, positive("probability__"))
 
     try:
@@ -189,11 +215,11 @@ def train_model(
     shared_folder(train.sparkSession)  # where boosting rounds cut their lineage
     encoder = encoding(train, features)
     weight = class_balance(train).first()["positive_weight"]
-    encoded = with_class_weight(encoder.transform(train), weight)
+    encoded = with_class_weight(encode_training(encoder, train, features), weight)
     encoded = encoded.select("features__vector", LABEL, WEIGHT, fold_of(folds=folds).alias("fold")).persist()
 
     def fold(k: int) -> list:
-        trees = boosted_trees(parameters, largest_domain(encoder), str(k)).fit(encoded.filter(F.col("fold") != k))
+        trees = boosted_trees(parameters, str(k)).fit(encoded.filter(F.col("fold") != k))
         held_out = trees.transform(encoded.filter(F.col("fold") == k))
         # Equal scores are merged before the isotonic fit, which gives the same curve from fewer points.
         points = held_out.groupBy(positive(f"probability__{k}").alias("score")).agg(
@@ -218,9 +244,10 @@ def base_model(train: DataFrame, features: Sequence[str], parameters: dict) -> P
     shared_folder(train.sparkSession)  # where boosting rounds cut their lineage
     encoder = encoding(train, features)
     weight = class_balance(train).first()["positive_weight"]
-    encoded = with_class_weight(encoder.transform(train), weight).select("features__vector", LABEL, WEIGHT).persist()
+    encoded = with_class_weight(encode_training(encoder, train, features), weight)
+    encoded = encoded.select("features__vector", LABEL, WEIGHT).persist()
     try:
-        trees = boosted_trees(parameters, largest_domain(encoder)).fit(encoded)
+        trees = boosted_trees(parameters).fit(encoded)
     finally:
         encoded.unpersist()
     return PipelineModel([*encoder.stages, trees])
@@ -238,24 +265,22 @@ def seeded_sample(df: DataFrame, rows: int = SAMPLE_ROWS, keys: Sequence[str] =
     return df.orderBy(F.md5(key.cast("binary")), *keys).limit(rows)
 
 
-def permutation_importance(model: PipelineModel, sample: DataFrame, probability, features: Sequence[str]) -> DataFrame:
+def permutation_importance(model: PipelineModel, rows: DataFrame, probability, features: Sequence[str]) -> DataFrame:
     """Rise of log loss when the values of one feature are dealt to other rows, per feature.
 
-    ``sample`` is small (``seeded_sample``). Every feature is dealt in the same shuffled order.
+    All of ``rows`` count. Every feature is dealt in the same shuffled order, by a numbering that no single task makes.
     """
-    spark = sample.sparkSession
-    order = Window.orderBy(F.md5(F.col(PERSON).cast("string").cast("binary")), PERSON)
-    numbered = sample.withColumn("nth", F.row_number().over(order)).persist()
-    rows = numbered.count()
-    base = mean_log_loss(model.transform(numbered), probability)
+    spark = rows.sparkSession
+    key = F.md5(F.concat_ws("|", F.col(PERSON).cast("string"), F.struct(*features).cast("string")).cast("binary"))
+    order = "__" + uuid.uuid4().hex
+    placed = numbered(rows.withColumn(order, key), [order], "nth").drop(order)
+    count = placed.count()
+    base = mean_log_loss(model.transform(placed), probability)
     results = []
     for i, name in enumerate(features):
-        dealt = numbered.select(
-            (F.pmod(F.col("nth") + F.lit(rows // 2 + i), F.lit(rows)) + 1).alias("nth"), F.col(name).alias(name)
-        )
-        mixed = numbered.drop(name).join(dealt, "nth")
+        dealt = placed.select(F.pmod(F.col("nth") + F.lit(count // 2 + i), F.lit(count)).alias("nth"), F.col(name).alias(name))
+        mixed = placed.drop(name).join(dealt, "nth")
         results.append((name, mean_log_loss(model.transform(mixed), probability) - base))
-    numbered.unpersist()
     return spark.createDataFrame(results, "feature string, loss_increase double")
 
 

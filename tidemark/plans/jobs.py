@@ -9,7 +9,7 @@ from datetime import datetime, timezone
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.columns import LABEL, MONEY, PERSON, PROBABILITY, SNAPSHOT, SPLITS
+from tidemark.columns import LABEL, MONEY, PROBABILITY, SPLITS
 from tidemark.functions.times import Snapshot, snapshot
 from tidemark.operators import contract, evaluate, model, quality, report
 from tidemark.operators.features import point_in_time_features
@@ -86,8 +86,10 @@ def training_job(
     folds: int = model.FOLDS,
     threads: int = 1,
 ) -> Trained:
-    """Split, search, train, calibrate, evaluate and compare with the current model. The model is stored.
+    """Split, search, train, calibrate, evaluate and compare with the current model.
 
+    The new model is stored as ``challenger``; only if it is approved it also replaces ``model``, which is the one to score
+    with, together with the contract of its features. Metrics, decision, importance and trials are stored in ``reports``.
     ``threads`` fits run at a time; a cluster that one fit does not fill gains from more.
     """
     spark = apply_settings(panel.sparkSession)
@@ -100,11 +102,10 @@ def training_job(
     draws = model.sampled_parameters(model.TRIALS) if draws is None else draws
     best, trials = model.search(train_rows, val_rows, names, draws, threads)
     fitted = model.train_model(train_rows, names, best, folds, threads)
-    fitted.write().overwrite().save(f"{folder}/model")
+    fitted.write().overwrite().save(f"{folder}/challenger")
 
     base = model.base_model(train_rows, names, best)
-    sample = model.seeded_sample(val_rows, keys=[PERSON, SNAPSHOT])
-    importance = model.permutation_importance(base, sample, model.positive("probability__"), names)
+    importance = model.permutation_importance(base, val_rows, model.positive("probability__"), names)
 
     rivals = {"challenger": fitted} | ({"champion": champion} if champion is not None else {})
     threshold = evaluate.high_value_threshold(test_rows)
@@ -119,8 +120,18 @@ def training_job(
 
     train_features = features_of(train_rows)
     blueprint, categories = contract.feature_blueprint(train_features), contract.category_values(train_features)
-    blueprint.write.mode("overwrite").json(f"{folder}/contract/features")
-    categories.write.mode("overwrite").parquet(f"{folder}/contract/categories")
+    kept_trials = spark.createDataFrame(
+        [(i, draw == best, {k: float(v) for k, v in draw.items()}, loss) for i, (draw, loss) in enumerate(trials)],
+        "trial int, is_best boolean, parameters map<string, double>, val_log_loss double",
+    )
+    reports = {"metrics": metrics, "decision": verdict, "importance": importance, "trials": kept_trials}
+    for name, rows in reports.items():
+        rows.write.mode("overwrite").parquet(f"{folder}/reports/{name}")
+    metrics, verdict = (spark.read.parquet(f"{folder}/reports/{name}") for name in ("metrics", "decision"))
+    if verdict.first()["approved"]:
+        fitted.write().overwrite().save(f"{folder}/model")
+        blueprint.write.mode("overwrite").json(f"{folder}/contract/features")
+        categories.write.mode("overwrite").parquet(f"{folder}/contract/categories")
     return Trained(fitted, metrics, verdict, blueprint, categories, importance, trials)
 
 
@@ -138,7 +149,7 @@ def daily_tables(spark: SparkSession, folder: str, at: Snapshot) -> OrderTables:
 def scoring_job(
     tables: OrderTables,
     fitted: PipelineModel,
-    expected: list[tuple[str, str]],
+    expected: list[tuple[str, str]] | str,
     folder: str,
     at: Snapshot | None = None,
     run_id: str = "run",
@@ -147,13 +158,21 @@ def scoring_job(
 ) -> dict[str, DataFrame]:
     """Build the feature matrix, check it against the model's contract, score it, store report and log.
 
+    ``expected`` is the folder of a contract that training stored, or the names and types of the features. With a stored
+    contract the checks also warn of values that training did not see; extra features are warned of in both cases.
     Without a snapshot customers are scored as of today, 00:00 UTC.
     """
     spark = apply_settings(tables.orders.sparkSession)
     at = snapshot(datetime.now(timezone.utc).date()) if at is None else at
     sinks.write_matrix(point_in_time_features(tables, at), f"{folder}/matrix")
     matrix = spark.read.parquet(f"{folder}/matrix")
-    checks = contract.check_contract(expected, matrix)
+    blueprint = None
+    if isinstance(expected, str):
+        blueprint, categories = contract.read_contract(spark, expected)
+        expected = contract.blueprint_features(blueprint)
+    checks = contract.check_contract(expected, matrix).unionByName(contract.extra_feature_warnings(expected, matrix))
+    if blueprint is not None:
+        checks = checks.unionByName(contract.domain_warnings(blueprint, categories, matrix))
     sinks.write_checks(checks, f"{folder}/checks")
     if not contract.contract_result(checks).first()["is_valid"]:
         raise GateClosed(checks)

@@ -150,6 +150,8 @@ def build_panel(
     ``strict_as_of`` hides deliveries after each snapshot. What an order adds then differs from snapshot to snapshot, which
     only the ``union`` plan can follow.
     """
+    if strict_as_of and plan != "union":
+        raise ValueError("strict_as_of needs plan='union'")
     if strict_as_of:
         panel = union_panel(tables, snapshots, days, strict_as_of=True)
     else:

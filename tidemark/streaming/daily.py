@@ -9,11 +9,10 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.report import business_report
-from tidemark.sources.files import DAY_COLUMNS, file_system, hadoop_path, path_exists, scan_csv, scan_partitioned
+from tidemark.sources.files import DAY_COLUMNS, file_system, hadoop_path, path_exists, scan_partitioned
 from tidemark.sources.sinks import write_parts
 
 MARKER = "_SUCCESS"
@@ -34,11 +33,15 @@ def write_day(df: DataFrame, root: str, day: date) -> None:
 
 
 def write_days(df: DataFrame, root: str) -> list[date]:
-    """Replace every day that occurs in ``df``, which carries the partition columns, and mark those days."""
-    write_parts(df, root, DAY_COLUMNS)
-    # One row per calendar day.
-    rows = df.select(*DAY_COLUMNS).distinct().collect()
-    days = sorted(date(int(r.year), int(r.month), int(r.day)) for r in rows)
+    """Replace every day that occurs in ``df``, which carries the partition columns, and mark those days.
+
+    The input is computed once. The days are counted while they are written, so exactly what was written is marked.
+    """
+    seen = Observation()
+    day = F.concat_ws("-", *DAY_COLUMNS)
+    # One value per calendar day.
+    write_parts(df.observe(seen, F.collect_set(day).alias("days")), root, DAY_COLUMNS)
+    days = sorted(date(*map(int, d.split("-"))) for d in seen.get["days"])
     mark_days(df.sparkSession, root, days)
     return days
 
@@ -85,14 +88,21 @@ def scan_completed(spark: SparkSession, root: str) -> DataFrame:
 def publish_reports(
     spark: SparkSession, report_path: str, log_path: str, report_base: str, log_base: str, run_day: date
 ) -> tuple[str, str]:
-    """Copy a stored report and its log to the folders of the run day. Both must exist before either is copied."""
+    """Copy a stored report and its log to the folders of the run day. Both must exist before either is copied.
+
+    The report's files are copied as they are, whatever columns they have; a report is as long as the list of flagged
+    customers, and passes in blocks. The log has a row per customer and is copied by tasks.
+    """
     for path in (report_path, log_path):
         if not path_exists(spark, path):
             raise FileNotFoundError(path)
-    report = scan_csv(spark, report_path, "customer_unique_id string, predicted_probability double, "
-                      "monetary_total double, revenue_at_risk double")
     targets = day_folder(report_base, run_day), day_folder(log_base, run_day)
-    ordered = business_report(report, threshold=0.0)
-    ordered.write.mode("overwrite").option("header", True).option("escape", '"').csv(targets[0])
+    source, target = hadoop_path(spark, report_path), hadoop_path(spark, targets[0])
+    system = file_system(spark, targets[0])
+    system.delete(target, True)
+    system.mkdirs(target.getParent())
+    copy = spark._jvm.org.apache.hadoop.fs.FileUtil.copy
+    if not copy(file_system(spark, report_path), source, system, target, False, True, spark._jsc.hadoopConfiguration()):
+        raise OSError(f"{report_path} could not be copied")
     spark.read.parquet(log_path).write.mode("overwrite").parquet(targets[1])
     return targets
