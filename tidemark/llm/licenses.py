@@ -49,29 +49,37 @@ def terms(text: str) -> Counter:
 
 
 class Notices:
-    """Weights of terms, unit vectors of notices, and terms of which every similar line has at least one."""
+    """Weights of terms and unit vectors of notices."""
 
-    def __init__(self, templates: tuple[tuple[str, str], ...] = TEMPLATES, least: float = min(LEAST_LINE, LEAST_FILE)):
+    def __init__(self, templates: tuple[tuple[str, str], ...] = TEMPLATES):
         counts = [terms(text) for _, text in templates]
         among = Counter(t for c in counts for t in c)
         self.unknown = math.log(1 + len(templates)) + 1
         self.idf = {t: math.log((1 + len(templates)) / (1 + n)) + 1 for t, n in sorted(among.items())}
-        self.vectors, self.needed = [], set()
+        self.vectors = []
         for (name, _), count in zip(templates, counts, strict=True):
             weights = {t: n * self.idf[t] for t, n in count.items()}
             norm = math.sqrt(sum(w * w for w in weights.values()))
-            unit = {t: w / norm for t, w in sorted(weights.items())}
-            self.vectors.append((name, unit))
-            # A text without the heaviest terms cannot reach the least cosine with the rest of them.
+            self.vectors.append((name, {t: w / norm for t, w in sorted(weights.items())}))
+
+    def needed(self, least: float) -> set[str]:
+        """Terms of which every text with at least this cosine to a notice has one: without them the rest is too light."""
+        found = set()
+        for _, unit in self.vectors:
             left = 1.0
             for t, w in sorted(unit.items(), key=lambda x: (-x[1], x[0])):
                 if left < least * least * (1 - 1e-9):
                     break
-                self.needed.add(t)
+                found.add(t)
                 left -= w * w
+        return found
 
-    def pattern(self) -> str:
-        return "(^|[^a-z0-9])(" + "|".join(re.escape(t) for t in sorted(self.needed)) + ")([^a-z0-9]|$)"
+    def pattern(self, least: float) -> str:
+        """The needed terms as an expression, by their first letters."""
+        by_letter: dict[str, list[str]] = {}
+        for t in sorted(self.needed(least)):
+            by_letter.setdefault(t[0], []).append(re.escape(t[1:]))
+        return "(?<![a-z0-9])(?:" + "|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in by_letter.items()) + ")(?![a-z0-9])"
 
 
 def ascii_lower(column: Column) -> Column:
@@ -96,13 +104,12 @@ def squares(sorted_terms: Column) -> Column:
 def best_notice(docs: DataFrame, text: str, notices: Notices) -> DataFrame:
     """Adds ``best``: for every line that may be a notice, and the whole text last, the score and name of its best notice.
 
-    Texts without any needed term have an empty array.
+    Texts without any term that even a whole file needs have an empty array.
     """
-    vocabulary = F.array(*map(F.lit, notices.idf))
     idf = weight_map(notices.idf)
     templates = F.array(*(F.struct(F.lit(n).alias("name"), weight_map(w).alias("weights")) for n, w in notices.vectors))
     total = lambda values, weight: F.aggregate(values, F.lit(0.0), lambda a, v: a + weight(v))
-    known = lambda t: F.array_contains(vocabulary, t)
+    known = lambda t: t.isin(list(notices.idf))
     counted = lambda own: F.transform(
         F.array_distinct(own),
         lambda t: F.struct(t.alias("t"), (F.size(F.filter(own, lambda x: x == t)) * F.try_element_at(idf, t)).alias("w")),
@@ -113,8 +120,8 @@ def best_notice(docs: DataFrame, text: str, notices: Notices) -> DataFrame:
         return F.round(F.when(v["norm"] > 0, dot / v["norm"]).otherwise(0.0), 6)
 
     low = docs.withColumn("_low", ascii_lower(F.col(text)))
-    possible = F.filter(F.split("_low", "\n"), lambda line: line.rlike(notices.pattern()))
-    units = F.when(F.col("_low").rlike(notices.pattern()), F.concat(possible, F.array("_low"))).otherwise(F.array().cast("array<string>"))
+    possible = F.filter(F.split("_low", "\n"), lambda line: line.rlike(notices.pattern(LEAST_LINE)))
+    units = F.when(F.col("_low").rlike(notices.pattern(min(LEAST_LINE, LEAST_FILE))), F.concat(possible, F.array("_low"))).otherwise(F.array().cast("array<string>"))
     steps = {
         "_tokens": F.transform(units, lambda u: F.regexp_extract_all(u, F.lit(TERM), F.lit(0))),
         "_parts": F.transform(
