@@ -399,7 +399,7 @@ def _contract_rows_sql():
 @query("d16_contract_check", with_base(_contract_rows_sql(), sql.MATRIX))
 def contract_check(spark, folder):
     """The matrix of the last snapshot against the features of the training split."""
-    expected = contract.blueprint_features(contract.feature_blueprint(train_features(spark, folder)))
+    expected = contract.schema_features(train_features(spark, folder))
     rows = contract.check_contract(expected, matrix(spark, folder))
     return rows.select("feature", "rule", "passed", "observed")
 
@@ -451,7 +451,7 @@ def type_slots(spark, folder):
     with_base("SELECT COUNT(*) > 0 AS is_valid, CAST(0 AS BIGINT) AS errors FROM matrix", sql.MATRIX),
 )
 def contract_result(spark, folder):
-    expected = contract.blueprint_features(contract.feature_blueprint(train_features(spark, folder)))
+    expected = contract.schema_features(train_features(spark, folder))
     return contract.contract_result(contract.check_contract(expected, matrix(spark, folder)))
 
 

@@ -149,6 +149,25 @@ def test_publishing_needs_both_files(spark, tmp_path):
     assert files.scan_partitioned(spark, f"{base}/logs").first()["month"] == "06"
 
 
+def test_declared_tables_are_split_and_others_keep_their_line_breaks(spark, tmp_path):
+    plain = "id,text\n" + "".join(f"{i},{'x' * 90}\n" for i in range(20_000))
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "plain.csv").write_text(plain)
+    (tmp_path / "in" / "broken.csv").write_text('id,text\n1,"a\nb"\n2,c\n')
+    schemas = {"plain": "id int, text string", "broken": "id int, text string"}
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 18))
+    try:
+        tables = files.open_tables(spark, str(tmp_path / "in"), schemas, single_line=["plain"])
+        assert tables["plain"].rdd.getNumPartitions() > 4
+        report = files.convert_folder(spark, str(tmp_path / "in"), str(tmp_path / "out"), schemas, single_line=["plain"])
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [r["converted"] for r in report.collect()] == [True, True]
+    assert spark.read.parquet(str(tmp_path / "out" / "plain.parquet")).count() == 20_000
+    assert content(spark.read.parquet(str(tmp_path / "out" / "broken.parquet"))) == [(1, "a\nb"), (2, "c")]
+
+
 def test_published_reports_are_unchanged(spark, tmp_path):
     """Reports of other columns, and rows without a probability, arrive as they were written."""
     base = str(tmp_path)

@@ -140,6 +140,11 @@ def blueprint_features(blueprint: DataFrame) -> list[tuple[str, str]]:
     return [(r["name"], r["physical_type"]) for r in sorted(rows, key=lambda r: r["index"])]
 
 
+def schema_features(features: DataFrame) -> list[tuple[str, str]]:
+    """Names and types in order, from the schema alone."""
+    return [(f.name, f.dataType.simpleString()) for f in features.schema.fields if f.name not in SYSTEM_COLUMNS]
+
+
 def check_contract(expected: list[tuple[str, str]], matrix: DataFrame) -> DataFrame:
     """Population, presence, position and type of all expected features.
 

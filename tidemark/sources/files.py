@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -90,14 +92,22 @@ def discover_tables(spark: SparkSession, root: str) -> dict[str, str]:
     return found
 
 
-def open_table(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
-    return scan_csv(spark, path, schema) if path.endswith(".csv") else scan_parquet(spark, path)
+def open_table(
+    spark: SparkSession, path: str, schema: StructType | str | None = None, multi_line: bool = True
+) -> DataFrame:
+    return scan_csv(spark, path, schema, multi_line) if path.endswith(".csv") else scan_parquet(spark, path)
+
 
+def open_tables(
+    spark: SparkSession, root: str, schemas: dict | None = None, single_line: Collection[str] = ()
+) -> dict[str, DataFrame]:
+    """Every table below ``root``; CSV tables are read with their declared schema where there is one.
 
-def open_tables(spark: SparkSession, root: str, schemas: dict | None = None) -> dict[str, DataFrame]:
-    """Every table below ``root``; CSV tables are read with their declared schema where there is one."""
+    CSV tables named in ``single_line`` have no line breaks inside quotes, so Spark may split their files.
+    """
     schemas = schemas or {}
-    return {name: open_table(spark, path, schemas.get(name)) for name, path in discover_tables(spark, root).items()}
+    found = discover_tables(spark, root)
+    return {name: open_table(spark, path, schemas.get(name), name not in single_line) for name, path in found.items()}
 
 
 def _mode(replace: bool) -> str:
@@ -115,10 +125,12 @@ def parquet_to_csv(spark: SparkSession, parquet_path: str, csv_path: str, replac
     writer.option("header", True).option("escape", '"').csv(csv_path)
 
 
-def convert_folder(spark: SparkSession, source: str, target: str, schemas: dict | None = None) -> DataFrame:
+def convert_folder(
+    spark: SparkSession, source: str, target: str, schemas: dict | None = None, single_line: Collection[str] = ()
+) -> DataFrame:
     """Every CSV table below ``source`` as Parquet below ``target``, with one report row per table.
 
-    A table that cannot be converted is reported and does not stop the others.
+    Tables named in ``single_line`` are split, as in ``open_tables``. A table that cannot be converted is reported and does not stop the others.
     """
     schemas = schemas or {}
     report = []
@@ -126,7 +138,9 @@ def convert_folder(spark: SparkSession, source: str, target: str, schemas: dict
         if not path.endswith(".csv"):
             continue
         try:
-            csv_to_parquet(spark, path, f"{target}/{name}.parquet", schema=schemas.get(name))
+            csv_to_parquet(
+                spark, path, f"{target}/{name}.parquet", schema=schemas.get(name), multi_line=name not in single_line
+            )
             report.append((name, True, None))
         except Exception as error:  # any failure of one table is its report row
             report.append((name, False, str(error).splitlines()[0]))
