@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -21,8 +23,14 @@ BATCH_BYTES = 16 * 1024 * 1024
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Session settings the text operators rely on: small Arrow batches and splitting of skewed joins."""
+    """Session settings the text operators rely on: small Arrow batches, splitting of skewed joins, and Python workers that
+    find this package where the driver has it (elsewhere it has to be installed)."""
     apply_settings(spark)
+    environment = spark.sparkContext.environment
+    root = str(Path(__file__).resolve().parents[2])
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
@@ -36,7 +44,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

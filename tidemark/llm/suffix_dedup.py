@@ -10,7 +10,8 @@ anchors, so a window can only repeat where its anchor does. Three passes over th
 3. Each chunk applies what came back to all places of its stretches.
 
 An anchor in very many documents would bring too many stretches together. Its windows are grouped one by one instead, by
-their text, with partial sums before the shuffle and a join that adaptive execution can split.
+128 bits of hash (the anchor's and their own), with partial sums before the shuffle and a join that adaptive execution can
+split.
 """
 
 from __future__ import annotations
@@ -34,9 +35,11 @@ LENGTH, ANCHOR = 50, 24
 SPREAD = LENGTH - ANCHOR + 1
 STRETCH = SPREAD + LENGTH - 1
 #: An anchor in more documents than this is handled window by window.
-HOT = 512
+HOT = 1 << 15
 #: Rows of a chunk, anchors of a bucket (about), windows of one suffix array (about), bytes of text worked on at once.
 CHUNK_BITS, BUCKET, TOGETHER, PIECE = 11, 1 << 18, 1 << 16, 1 << 23
+#: Bits of an anchor's hash that are left out where chunks only ask which anchors are shared; who meets by chance is compared.
+LEFT_OUT = np.uint64(16)
 #: Ids must be whole numbers; null ids rank behind all others, and as equal.
 LAST_ID = (1 << 63) - 1
 
@@ -94,13 +97,20 @@ def unpacked(blob: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u8").reshape(-1).astype(np.uint64)
 
 
+def as_lists(rows: pa.RecordBatch | pa.Table) -> list[list]:
+    """Columns as Python lists; numbers without nulls go by way of numpy, which is much faster."""
+    plain = lambda c: c.null_count == 0 and (pa.types.is_integer(c.type) or pa.types.is_boolean(c.type))
+    columns = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in rows.columns]
+    return [c.to_numpy(zero_copy_only=False).tolist() if plain(c) else c.to_pylist() for c in columns]
+
+
 def text_bytes(column: pa.ChunkedArray | pa.Array) -> list[np.ndarray]:
     return [np.frombuffer((t or "").encode("utf-8"), np.uint8) for t in column.to_pylist()]
 
 
 def anchor_task(buckets: int):
     """Per chunk and bucket of hashes: the anchors of its documents and in how many of them each stands."""
-    shift = np.uint64(64 - (buckets - 1).bit_length())
+    shift = np.uint64(64 - int(LEFT_OUT) - (buckets - 1).bit_length())
     schema = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("hashes", pa.binary()), ("counts", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,7 +129,7 @@ def anchor_task(buckets: int):
         for batch in batches:
             chunks = batch.column(0).to_pylist()
             for chunk, data in zip(chunks, text_bytes(batch.column(1)), strict=True):
-                found = np.unique(runs(data)[0])
+                found = np.unique(runs(data)[0] >> LEFT_OUT)
                 if len(found):
                     held.setdefault(chunk, []).append(found)
             for chunk in [c for c in held if c != chunks[-1]]:
@@ -159,15 +169,19 @@ def signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
+def named(stretch: bytes) -> int:
+    return signed(xxhash.xxh64_intdigest(stretch))
+
+
 SENT = "chunk long, single boolean, anchor long, code long, stretch binary, least long, most long"
 
 
 def chunk_stretches(docs: pa.Table, shared: pa.Table) -> pa.Table:
     """The chunk's stretches around shared anchors, once each, with the smallest and largest id that has them.
 
-    The windows of hot anchors are sent singly.
+    The windows of hot anchors are sent singly, by their hash.
     """
-    found: dict[tuple[bool, int, bytes], list[int]] = {}
+    found: dict[tuple[int, int | None, bytes | None], list[int]] = {}
     if shared.num_rows:
         anchors = np.concatenate([np.cumsum(unpacked(b), dtype=np.uint64) for b in shared["anchors"].to_pylist()])
         hot = np.concatenate([unpacked(b) for b in shared["hot"].to_pylist()]) > 0
@@ -175,14 +189,14 @@ def chunk_stretches(docs: pa.Table, shared: pa.Table) -> pa.Table:
         anchors, hot = anchors[order], hot[order]
         for rank, data in zip(docs["rank"].to_pylist(), text_bytes(docs["t"]), strict=True):
             hashes, starts, ends = runs(data)
-            known, at = member(hashes, anchors)
+            known, at = member(hashes >> LEFT_OUT, anchors)
             raw = data.tobytes()
             for i in np.flatnonzero(known).tolist():
                 start, end, anchor = int(starts[i]), int(ends[i]), signed(int(hashes[i]))
                 if hot[at[i]]:
-                    keys = [(True, anchor, raw[j : j + LENGTH]) for j in range(start, end)]
+                    keys = [(anchor, named(raw[j : j + LENGTH]), None) for j in range(start, end)]
                 else:
-                    keys = [(False, anchor, raw[start : end + LENGTH - 1])]
+                    keys = [(anchor, None, raw[start : end + LENGTH - 1])]
                 for key in keys:
                     ids = found.setdefault(key, [rank, rank])
                     ids[0], ids[1] = min(rank, ids[0]), max(rank, ids[1])
@@ -190,9 +204,9 @@ def chunk_stretches(docs: pa.Table, shared: pa.Table) -> pa.Table:
     return pa.table(
         [
             pa.array([chunk] * len(found), pa.int64()),
-            pa.array([single for single, _, _ in found], pa.bool_()),
-            pa.array([a for _, a, _ in found], pa.int64()),
-            pa.array([signed(xxhash.xxh64_intdigest(s)) for _, _, s in found], pa.int64()),
+            pa.array([stretch is None for _, _, stretch in found], pa.bool_()),
+            pa.array([anchor for anchor, _, _ in found], pa.int64()),
+            pa.array([code for _, code, _ in found], pa.int64()),
             pa.array([s for _, _, s in found], pa.binary()),
             pa.array([ids[0] for ids in found.values()], pa.int64()),
             pa.array([ids[1] for ids in found.values()], pa.int64()),
@@ -246,16 +260,14 @@ def maximal_repeats(stretches: list[bytes], firsts: list[int], length: int = LEN
                 stack.append((depth, here, first, left))
 
 
-RESULT = "chunk long, single boolean, anchor long, code long, first long, offsets array<long>, sizes array<long>, firsts array<long>"
+RESULT = "chunk long, single boolean, anchor long, code long, first long, parts binary"
 RESULT_SCHEMA = pa.schema(
-    [("chunk", pa.int64()), ("single", pa.bool_())]
-    + [(n, pa.int64()) for n in ("anchor", "code", "first")]
-    + [(n, pa.list_(pa.int64())) for n in ("offsets", "sizes", "firsts")]
+    [("chunk", pa.int64()), ("single", pa.bool_()), ("anchor", pa.int64()), ("code", pa.int64()), ("first", pa.int64()), ("parts", pa.binary())]
 )
 
 
-def repeats_of(rows: list[tuple]) -> Iterator[dict]:
-    """What each chunk has to know of its stretches: the smallest id that has all of it, or parts of it."""
+def repeats_of(rows: list[tuple]) -> pa.RecordBatch:
+    """What each chunk has to know of its stretches: the smallest id that has all of it, or (offset, size, id) of parts of it."""
     number: dict[bytes, int] = {}
     firsts: list[int] = []
     for *_, stretch, least, _ in rows:
@@ -268,12 +280,14 @@ def repeats_of(rows: list[tuple]) -> Iterator[dict]:
         for i, offset in places:
             if first < firsts[i]:  # else all of the stretch has the same first document
                 parts[i].append((offset, size, first))
-    for chunk, single, anchor, code, stretch, _, most in rows:
+    out = []
+    for chunk, single, anchor, stretch, _, most in rows:
         i = number[stretch]
         own = [p for p in parts[i] if p[2] < most]
-        if firsts[i] < most or own:
-            lists = [list(x) for x in zip(*own, strict=True)] or [[], [], []]
-            yield dict(zip(RESULT_SCHEMA.names, (chunk, single, anchor, code, firsts[i], *lists), strict=True))
+        if own or firsts[i] < most:
+            out.append((chunk, single, anchor, named(stretch), firsts[i], np.array(own, np.int64).tobytes() if own else None))
+    columns = zip(*out, strict=True) if out else [()] * len(RESULT_SCHEMA)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, RESULT_SCHEMA, strict=True)], schema=RESULT_SCHEMA)
 
 
 def repeat_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,14 +295,14 @@ def repeat_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: list[tuple] = []
     windows, last = 0, None
     for batch in batches:
-        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for row in zip(*as_lists(batch), strict=True):
             if row[2] != last and windows >= TOGETHER:
-                yield pa.RecordBatch.from_pylist(list(repeats_of(held)), schema=RESULT_SCHEMA)
+                yield repeats_of(held)
                 held, windows = [], 0
             held.append(row)
-            windows, last = windows + len(row[4]) - LENGTH + 1, row[2]
+            windows, last = windows + len(row[3]) - LENGTH + 1, row[2]
     if held:
-        yield pa.RecordBatch.from_pylist(list(repeats_of(held)), schema=RESULT_SCHEMA)
+        yield repeats_of(held)
 
 
 OUT = (("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("spans", pa.string()))
@@ -298,21 +312,17 @@ def apply_repeats(docs: pa.Table, results: pa.Table) -> pa.Table:
     """The chunk's documents with what is removed from them."""
     known: dict[int, tuple] = {}
     hot: dict[int, dict[int, int]] = {}
-    for _, single, anchor, code, first, *parts in zip(*(c.to_pylist() for c in results.columns), strict=True):
+    for _, single, anchor, code, first, parts in zip(*as_lists(results), strict=True):
         if single:
             hot.setdefault(anchor, {})[code] = first
         else:
-            known[code] = (first, list(zip(*parts, strict=True)))
+            known[code] = (first, parts)
     anchors = np.unique(results["anchor"].to_numpy().astype(np.int64).view(np.uint64))
     out: dict[str, list] = {name: [] for name, _ in OUT}
     for rank, data in zip(docs["rank"].to_pylist(), text_bytes(docs["t"]), strict=True):
-        edges = np.zeros(len(data) + 1, np.int64)
         raw = data.tobytes()
-
-        def remove(start: int, end: int, edges: np.ndarray = edges) -> None:
-            edges[start] += 1
-            edges[end] -= 1
-
+        begun: list[int] = []
+        ended: list[int] = []
         if results.num_rows:
             hashes, starts, ends = runs(data)
             found, _ = member(hashes, anchors)
@@ -321,16 +331,21 @@ def apply_repeats(docs: pa.Table, results: pa.Table) -> pa.Table:
                 windows = hot.get(signed(int(hashes[i])))
                 if windows is not None:
                     for j in range(start, end - LENGTH + 1):
-                        if windows.get(signed(xxhash.xxh64_intdigest(raw[j : j + LENGTH])), LAST_ID) < rank:
-                            remove(j, j + LENGTH)
+                        if windows.get(named(raw[j : j + LENGTH]), LAST_ID) < rank:
+                            begun.append(j)
+                            ended.append(j + LENGTH)
                     continue
-                first, parts = known.get(signed(xxhash.xxh64_intdigest(raw[start:end])), (LAST_ID, ()))
+                first, parts = known.get(named(raw[start:end]), (LAST_ID, None))
                 if first < rank:
-                    remove(start, end)
+                    begun.append(start)
+                    ended.append(end)
                     continue
-                for offset, size, first in parts:
+                for offset, size, first in np.frombuffer(parts or b"", np.int64).reshape(-1, 3).tolist():
                     if first < rank:
-                        remove(start + offset, start + offset + size)
+                        begun.append(start + offset)
+                        ended.append(start + offset + size)
+        n = len(data) + 1
+        edges = np.bincount(np.array(begun, np.int64), minlength=n) - np.bincount(np.array(ended, np.int64), minlength=n)
         gone = np.cumsum(edges[:-1]) > 0
         turns = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8)))
         out["n_bytes"].append(len(data))
@@ -348,7 +363,7 @@ def in_chunks(docs: DataFrame) -> DataFrame:
     chunk = F.shiftleft(F.shiftright(row, 33), 33 - CHUNK_BITS).bitwiseOR(F.shiftright(row.bitwiseAND(F.lit((1 << 33) - 1)), CHUNK_BITS))
     name, path = f"chunks_{uuid.uuid4().hex}", scratch_path(spark, "suffix-chunks")
     buckets = max(2, docs.rdd.getNumPartitions())
-    docs.withColumn("chunk", chunk).write.bucketBy(buckets, "chunk").option("path", path).format("parquet").saveAsTable(name)
+    docs.withColumn("chunk", chunk).write.bucketBy(buckets, "chunk").option("compression", "zstd").option("path", path).format("parquet").saveAsTable(name)
     return spark.table(name)
 
 
@@ -372,13 +387,12 @@ def remove_earlier_strings(docs: DataFrame, id_column: str = "doc_id", text_colu
 
     sent = with_texts(shared, chunk_stretches, SENT)
     near = stored(sent, "suffix-stretches")
-    met = near.where("NOT single").repartition("anchor").sortWithinPartitions("anchor")
+    met = near.where("NOT single").drop("code").repartition("anchor").sortWithinPartitions("anchor")
     results = met.mapInArrow(repeat_task, RESULT)
     single = near.where("single")
-    first = stored(single.groupBy("stretch").agg(F.min("least").alias("first")), "suffix-windows")
-    none = F.array().cast("array<long>")
-    windows = single.join(first, "stretch").where("first < most").select(
-        "chunk", "single", "anchor", "code", "first", none.alias("offsets"), none.alias("sizes"), none.alias("firsts")
+    first = stored(single.groupBy("anchor", "code").agg(F.min("least").alias("first")), "suffix-windows")
+    windows = single.join(first, ["anchor", "code"]).where("first < most").select(
+        "chunk", "single", "anchor", "code", "first", F.lit(None).cast("binary").alias("parts")
     )
     out_schema = f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans string"
     return with_texts(results.union(windows), apply_repeats, out_schema).withColumnRenamed("id", id_column)
