@@ -1,6 +1,6 @@
 """Removal of byte strings that an earlier document has too, found in suffix arrays.
 
-Every window of 50 bytes has an anchor: the substring of 24 bytes in it with the smallest hash. Equal windows have equal
+Every window of 50 bytes has an anchor: the substring of 20 bytes in it with the smallest hash. Equal windows have equal
 anchors, so a window can only repeat where its anchor does. Three passes over the stored texts use this:
 
 1. Each chunk of documents sends the hashes of its anchors, sorted and compressed; what stands in one document only is done.
@@ -9,6 +9,8 @@ anchors, so a window can only repeat where its anchor does. Three passes over th
    be extended to the left for all occurrences, with all their occurrences and the smallest document id among them.
 3. Each chunk applies what came back to all places of its stretches.
 
+Whole texts that repeat are found first by their digests; a copy is removed as it is and sends no stretches.
+
 An anchor in very many documents would bring too many stretches together. Its windows are grouped one by one instead, by
 128 bits of hash (the anchor's and their own), with partial sums before the shuffle and a join that adaptive execution can
 split.
@@ -22,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
@@ -30,7 +33,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import stored
 from tidemark.session import scratch_path
 
-LENGTH, ANCHOR = 50, 24
+LENGTH, ANCHOR = 50, 20
 #: Windows that can share an anchor, and the longest stretch they make.
 SPREAD = LENGTH - ANCHOR + 1
 STRETCH = SPREAD + LENGTH - 1
@@ -176,18 +179,26 @@ def named(stretch: bytes) -> int:
 SENT = "chunk long, single boolean, anchor long, code long, stretch binary, least long, most long"
 
 
+def copies_in(rows: pa.Table) -> dict[str, int]:
+    """Digest of each text that repeats, and the smallest id that has it."""
+    return {k: f for k, f in zip(rows["key"].to_pylist(), rows["first"].to_pylist(), strict=True) if k is not None}
+
+
 def chunk_stretches(docs: pa.Table, shared: pa.Table) -> pa.Table:
     """The chunk's stretches around shared anchors, once each, with the smallest and largest id that has them.
 
     The windows of hot anchors are sent singly, by their hash.
     """
     found: dict[tuple[int, int | None, bytes | None], list[int]] = {}
-    if shared.num_rows:
-        anchors = np.concatenate([np.cumsum(unpacked(b), dtype=np.uint64) for b in shared["anchors"].to_pylist()])
-        hot = np.concatenate([unpacked(b) for b in shared["hot"].to_pylist()]) > 0
+    copies, blobs = copies_in(shared), shared.filter(pc.is_valid(shared["anchors"]))
+    if blobs.num_rows:
+        anchors = np.concatenate([np.cumsum(unpacked(b), dtype=np.uint64) for b in blobs["anchors"].to_pylist()])
+        hot = np.concatenate([unpacked(b) for b in blobs["hot"].to_pylist()]) > 0
         order = np.argsort(anchors)
         anchors, hot = anchors[order], hot[order]
-        for rank, data in zip(docs["rank"].to_pylist(), text_bytes(docs["t"]), strict=True):
+        for rank, key, data in zip(docs["rank"].to_pylist(), docs["key"].to_pylist(), text_bytes(docs["t"]), strict=True):
+            if copies.get(key, LAST_ID) < rank:
+                continue
             hashes, starts, ends = runs(data)
             known, at = member(hashes >> LEFT_OUT, anchors)
             raw = data.tobytes()
@@ -310,6 +321,7 @@ OUT = (("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64(
 
 def apply_repeats(docs: pa.Table, results: pa.Table) -> pa.Table:
     """The chunk's documents with what is removed from them."""
+    copies, results = copies_in(results), results.filter(pc.is_null(results["key"])).drop_columns("key")
     known: dict[int, tuple] = {}
     hot: dict[int, dict[int, int]] = {}
     for _, single, anchor, code, first, parts in zip(*as_lists(results), strict=True):
@@ -319,11 +331,13 @@ def apply_repeats(docs: pa.Table, results: pa.Table) -> pa.Table:
             known[code] = (first, parts)
     anchors = np.unique(results["anchor"].to_numpy().astype(np.int64).view(np.uint64))
     out: dict[str, list] = {name: [] for name, _ in OUT}
-    for rank, data in zip(docs["rank"].to_pylist(), text_bytes(docs["t"]), strict=True):
+    for rank, key, data in zip(docs["rank"].to_pylist(), docs["key"].to_pylist(), text_bytes(docs["t"]), strict=True):
         raw = data.tobytes()
         begun: list[int] = []
         ended: list[int] = []
-        if results.num_rows:
+        if copies.get(key, LAST_ID) < rank:
+            begun, ended = [0], [len(data)]
+        elif results.num_rows:
             hashes, starts, ends = runs(data)
             found, _ = member(hashes, anchors)
             for i in np.flatnonzero(found).tolist():
@@ -357,13 +371,14 @@ def apply_repeats(docs: pa.Table, results: pa.Table) -> pa.Table:
 
 
 def in_chunks(docs: DataFrame) -> DataFrame:
-    """The documents stored in buckets by chunk, so that what is known of a chunk joins its texts without moving them."""
+    """The documents, and the digests of texts that can repeat, stored in buckets by chunk, so that what is known of a chunk joins its texts without moving them."""
     spark = docs.sparkSession
     row = F.monotonically_increasing_id()
     chunk = F.shiftleft(F.shiftright(row, 33), 33 - CHUNK_BITS).bitwiseOR(F.shiftright(row.bitwiseAND(F.lit((1 << 33) - 1)), CHUNK_BITS))
     name, path = f"chunks_{uuid.uuid4().hex}", scratch_path(spark, "suffix-chunks")
     buckets = max(2, docs.rdd.getNumPartitions())
-    docs.withColumn("chunk", chunk).write.bucketBy(buckets, "chunk").option("compression", "zstd").option("path", path).format("parquet").saveAsTable(name)
+    key = F.when(F.octet_length("t") >= LENGTH, F.md5("t"))
+    docs.withColumns({"chunk": chunk, "key": key}).write.bucketBy(buckets, "chunk").option("compression", "zstd").option("path", path).format("parquet").saveAsTable(name)
     return spark.table(name)
 
 
@@ -382,10 +397,17 @@ def remove_earlier_strings(docs: DataFrame, id_column: str = "doc_id", text_colu
     anchors = rows.select("chunk", "t").mapInArrow(anchor_task(buckets), "bucket int, chunk long, hashes binary, counts binary")
     shared = stored(anchors.groupBy("bucket").applyInArrow(lambda t: share_bucket(t, hot), "chunk long, anchors binary, hot binary"), "suffix-shared")
 
+    texts = rows.where("key IS NOT NULL").select("chunk", "key", "rank")
+    least = texts.groupBy("key").agg(F.min("rank").alias("first"), F.max("rank").alias("last"))
+    least = stored(least.where("first < last").select("key", "first"), "suffix-texts")
+    copies = texts.join(least, "key").where("rank > first").select("chunk", "key", "first").distinct()
+    copies = stored(copies, "suffix-copies")
+
     def with_texts(other: DataFrame, function, schema: str) -> DataFrame:
         return rows.groupBy("chunk").cogroup(other.groupBy("chunk")).applyInArrow(function, schema)
 
-    sent = with_texts(shared, chunk_stretches, SENT)
+    known = shared.unionByName(copies, allowMissingColumns=True)
+    sent = with_texts(known, chunk_stretches, SENT)
     near = stored(sent, "suffix-stretches")
     met = near.where("NOT single").drop("code").repartition("anchor").sortWithinPartitions("anchor")
     results = met.mapInArrow(repeat_task, RESULT)
@@ -395,4 +417,5 @@ def remove_earlier_strings(docs: DataFrame, id_column: str = "doc_id", text_colu
         "chunk", "single", "anchor", "code", "first", F.lit(None).cast("binary").alias("parts")
     )
     out_schema = f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans string"
-    return with_texts(results.union(windows), apply_repeats, out_schema).withColumnRenamed("id", id_column)
+    results = results.union(windows).unionByName(copies, allowMissingColumns=True)
+    return with_texts(results, apply_repeats, out_schema).withColumnRenamed("id", id_column)
