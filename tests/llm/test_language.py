@@ -53,6 +53,24 @@ def test_foreign_texts_are_rejected(spark):
     assert found == {i: False for i in range(60)} | {100: True, 101: True}
 
 
+def test_every_gram_counts(spark):
+    """Entropies are those of whole models: grams seen once among 1.5 million are in them too."""
+    words = lambda i, k: " ".join(f"{'abcdefghij'[(i * j) % 10]}{'klmnopqrst'[(i + j * j) % 10]}{'uvw'[j % 3]}" for j in range(k))
+    rows = [(i, words(i, 2500), ("xx", "yy")[i % 2], "a") for i in range(400)] + [(1000, "Zyzzyva quixotry", "xx", "a")]
+    rows += [(2000, "zyzzyva quixotry", None, "a"), (2001, "zygote, 一二三四", None, "a"), (2002, "...", None, "a")]
+    found = {r.doc_id: r for r in identify_language(documents(spark, rows)).collect()}
+    models = {}
+    for lang in ("xx", "yy"):
+        own = [t for i, t, x, _ in rows if x == lang and not found[i].held_out]
+        models[lang] = Model(*np.unique(np.concatenate([k for k, _ in pieces(own)]), return_counts=True))
+    for i, text, _, _ in rows[-4:-1] + rows[:4]:
+        entropies = {lang: -np.concatenate([m.logs(k) for k, _ in pieces([text])]).mean() for lang, m in models.items()}
+        best = min(entropies, key=entropies.get)
+        assert (found[i].lang_pred, round(found[i].cross_entropy, 4)) == (best, round(entropies[best], 4))
+    assert not found[1000].held_out and found[2000].cross_entropy < 1.5
+    assert found[2002].lang_pred == "und"
+
+
 def test_edge_rows(spark):
     rows = identify_language(edge(spark)).collect()
     assert len(rows) == len(EDGE)

@@ -1,9 +1,10 @@
 """Language identification by interpolated Kneser-Ney models of characters, one per language.
 
-The models are counted over all labelled training texts. Only the counts of the highest order are gathered: the lower orders
-of Kneser-Ney count in how many contexts a gram occurs, which follows from the grams one order above. Each model is a set of
-sorted arrays of gram hashes with their log probabilities and the weights of their contexts. A text gets the language with
-the lowest cross-entropy per character, and is rejected where that is far above what training texts of the language have.
+The models are counted over all labelled training texts, and every gram counts. They are tables: the lower orders of
+Kneser-Ney count in how many contexts a gram occurs, which follows by grouping the grams one order above, and so do discounts
+and the weights of contexts. Texts are packed in chunks; the distinct grams of each chunk are joined with the models, and the
+chunk is scored with a sorted array of just these grams, so no task or driver ever holds a whole model. A text gets the
+language with the lowest cross-entropy per character, and is rejected where that is far above what its training texts have.
 """
 
 from __future__ import annotations
@@ -14,17 +15,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_columns, stored
+from tidemark.llm.common import stored
 
 ORDER = 4
 #: Symbol before the start of a text, and the one that every run of other characters than letters becomes.
 START, BLANK = 1, 32
-#: The models together keep at most so many grams of the highest order. A gram is kept if its share of its language's grams
-#: is at least (languages / MODEL_GRAMS), so each language keeps at most its part; the lower orders smooth over the rest.
-MODEL_GRAMS = 2_000_000
+#: A chunk of texts ends when it has so many characters or so many distinct grams.
+CHUNK, CHUNK_GRAMS = 1 << 24, 1 << 20
+#: Chunks are written and sent once each; at level 1 of zstd they take a quarter more of disk.
+CHUNK_LEVEL = 9
 #: Texts are worked on in pieces of so many characters, each with a start of its own; counts are passed on beyond HELD grams.
 PIECE, HELD = 1 << 20, 500_000
 #: Factor on differences of cross-entropy (nats per character) in scores.
@@ -134,7 +137,7 @@ def count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Model:
-    """Log probabilities of one language, order by order, in arrays sorted by gram hash."""
+    """Log probabilities of one language, order by order, in arrays sorted by gram hash: what the tables hold, for few grams."""
 
     def __init__(self, grams: np.ndarray, counts: np.ndarray):
         keys, n = grams.astype(np.uint64), counts.astype(np.float64)
@@ -180,35 +183,106 @@ def looked_up(table: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.nda
     return at, table[at] == hashes
 
 
-def train(docs: DataFrame, text_column: str, lang_column: str) -> dict[str, Model]:
-    """A model per language from all rows with a language and a text."""
+def pack_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Chunks of rows (id, held_out, lang, t), compressed, with the distinct grams of their texts."""
+    first, done, held, size, grams = TaskContext.get().partitionId() << 32, 0, [], 0, [np.array([], np.uint64)]
+
+    def packed() -> pa.RecordBatch:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", CHUNK_LEVEL))) as writer:
+            for batch in held:
+                writer.write_batch(batch)
+        own = np.unique(np.concatenate(grams)).astype("<u8")
+        values = [pa.array([first + done]), pa.array([sink.getvalue().to_pybytes()]), pa.array([np.diff(own, prepend=np.uint64(0)).tobytes()])]
+        return pa.RecordBatch.from_arrays(values, names=["chunk", "packed", "grams"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        texts = batch.column("t").to_pylist()
+        held.append(batch)
+        size += sum(map(len, filter(None, texts)))
+        for keys, _ in pieces([t if has_letter(t) else None for t in texts]):
+            grams.append(np.unique(keys))
+            if len(grams) > 16:
+                grams = [np.unique(np.concatenate(grams))]
+        if size >= CHUNK or sum(map(len, grams)) >= CHUNK_GRAMS:
+            yield packed()
+            done, held, size, grams = done + 1, [], 0, [np.array([], np.uint64)]
+    if held:
+        yield packed()
+
+
+def grams_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(chunk, gram) of packed grams."""
+    for batch in batches:
+        for chunk, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            keys = np.cumsum(np.frombuffer(packed, "<u8"), dtype=np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), chunk)), pa.array(keys)], names=["chunk", "gram"])
+
+
+def each(n: int, value) -> Column:
+    """An array of one value per language."""
+    return F.array(*(value(i) for i in range(n)))
+
+
+def train(docs: DataFrame, text_column: str, lang_column: str) -> DataFrame:
+    """(lang, gram, n): how often each gram occurs in all rows with a language and a text."""
     labelled = docs.where(F.col(lang_column).isNotNull() & F.col(text_column).isNotNull())
     rows = labelled.select(F.col(lang_column).cast("string").alias("lang"), F.col(text_column).alias("t"))
     partial = rows.mapInArrow(count_task, "lang string, gram long, n long")
-    counts = stored(partial.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "language-counts")
-    totals = stored(counts.groupBy("lang").agg(F.sum("n").alias("total")), "language-totals")
-    share = max(1, totals.count()) / MODEL_GRAMS
-    kept = counts.join(totals, "lang").where(F.col("n") >= share * F.col("total")).select("lang", "gram", "n")
-    grams = kept.toArrow()  # at most MODEL_GRAMS rows, whatever the size of the corpus
-    lang, models = np.array(grams["lang"].to_pylist(), dtype=object), {}
-    for name in sorted(set(lang.tolist())):
-        own = lang == name
-        keys, n = grams["gram"].to_numpy()[own].view(np.uint64), grams["n"].to_numpy()[own]
-        order = np.argsort(keys)
-        models[name] = Model(keys[order], n[order])
-    return models
-
-
-def entropy_columns(columns: dict, models) -> dict:
-    """Best language, its cross-entropy per symbol, its score among the languages, and the number of symbols."""
-    texts, by_lang = columns.pop("t"), models.value
-    names, n = list(by_lang), len(texts)
+    return stored(partial.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "language-counts")
+
+
+def log_probabilities(counts: DataFrame, asked: DataFrame, names: list[str]) -> DataFrame:
+    """(gram, logs): the log probability in each language of ``names`` of every gram counted or asked for, as ``Model`` has it."""
+    langs = len(names)
+    rows = counts.select("gram", "lang", "n").union(asked.select("gram", F.lit(None).cast("string"), F.lit(0).cast("long")).distinct())
+    level = rows.groupBy("gram").agg(each(langs, lambda i: F.sum(F.when(F.col("lang") == names[i], F.col("n")).otherwise(0))).alias("n"))
+    levels = {ORDER: stored(level, f"language-order{ORDER}")}
+    for order in range(ORDER - 1, 0, -1):  # in how many contexts each shorter gram occurs
+        shorter = F.col("gram").bitwiseAND(F.lit((1 << 16 * order) - 1).cast("long"))
+        seen = levels[order + 1].groupBy(shorter.alias("gram"))
+        levels[order] = stored(seen.agg(each(langs, lambda i: F.sum((F.col("n")[i] > 0).cast("long"))).alias("n")), f"language-order{order}")
+    below = None
+    for order in range(1, ORDER + 1):
+        sums = [each(langs, lambda i, t=t: F.sum(t(F.col("n")[i]).cast("long"))) for t in (lambda n: n == 1, lambda n: n == 2, lambda n: n > 0, lambda n: n)]
+        context = F.shiftrightunsigned("gram", 16)
+        ones, twos, kinds, totals = levels[order].agg(*sums).first()
+        discounts = [a / (a + 2 * b) if a and b else 0.5 for a, b in zip(ones, twos, strict=True)]
+        if below is None:  # an unseen symbol is one of the vocabulary and one more; all symbols have the empty context
+            near = levels[order].select("gram", "n", *(F.array(*map(F.lit, v)).alias(k) for k, v in (("kinds", kinds), ("total", totals))))
+            near = near.withColumn("p", F.array(*(F.lit(1.0 / (k + 1)) for k in kinds)))
+        else:
+            around = levels[order].groupBy(context.alias("context"))
+            around = around.agg(sums[2].alias("kinds"), sums[3].alias("total"))
+            suffix = F.col("gram").bitwiseAND(F.lit((1 << 16 * (order - 1)) - 1).cast("long"))
+            near = levels[order].withColumns({"context": context, "suffix": suffix}).join(around, "context")
+            near = near.join(below.withColumnRenamed("gram", "suffix"), "suffix")
+
+        def smoothed(i: int, d: list[float] = discounts) -> Column:
+            n, total = F.col("n")[i], F.col("total")[i]
+            return F.when(total > 0, (F.greatest(n - d[i], F.lit(0.0)) + d[i] * F.col("kinds")[i] * F.col("p")[i]) / total).otherwise(F.col("p")[i])
+
+        below = near.select("gram", each(langs, smoothed).alias("p"))
+    return below.select("gram", F.transform("p", lambda p: F.log(p).cast("float")).alias("logs"))
+
+
+def scored_chunk(packed: pa.Table, known: pa.Table, names: list[str]) -> dict:
+    """Best language of each row of a chunk, its cross-entropy per symbol, its score among the languages, and the symbols."""
+    rows = pa.ipc.open_stream(packed["packed"][0].as_py()).read_all()
+    texts, n = rows["t"].to_pylist(), rows.num_rows
+    grams = known["gram"].to_numpy().view(np.uint64)
+    order = np.argsort(grams)
+    flat = known["logs"].combine_chunks().flatten().to_numpy() if len(grams) else np.array([], np.float32)
+    grams, logs = grams[order], np.ascontiguousarray(flat.reshape(-1, max(1, len(names)))[order].T)
     sums, sizes = np.zeros((len(names), n)), np.zeros(n)
     for keys, owner in pieces([t if has_letter(t) else None for t in texts]):
-        grams, place = np.unique(keys, return_inverse=True)
         sizes += np.bincount(owner, minlength=n)
-        for i, name in enumerate(names):
-            sums[i] += np.bincount(owner, by_lang[name].logs(grams)[place], n)
+        if names:
+            place = np.searchsorted(grams, keys)
+            for i, own in enumerate(logs):
+                sums[i] += np.bincount(owner, own[place], n)
     out = {"pred": [], "entropy": [], "score": [], "size": sizes.astype(np.int64)}
     for j in range(n):
         if not sizes[j] or not names:
@@ -221,14 +295,25 @@ def entropy_columns(columns: dict, models) -> dict:
         out["pred"].append(names[best])
         out["entropy"].append(float(entropy[best]))
         out["score"].append(float(1 / np.exp(-SHARPNESS * (entropy - entropy[best])).sum()))
-    return columns | out
+    return {name: rows[name] for name in ("id", "held_out", "lang")} | out
 
 
-def predicted(rows: DataFrame, models: dict[str, Model], kind: str) -> DataFrame:
+def predicted(rows: DataFrame, counts: DataFrame, kind: str) -> DataFrame:
     """(id, held_out, lang, pred, entropy, score, size) of rows with id, held_out, lang and t."""
-    shared = rows.sparkSession.sparkContext.broadcast(models)
+    names = sorted(r.lang for r in counts.select("lang").distinct().collect())
+    chunks = stored(rows.mapInArrow(pack_task, "chunk long, packed binary, grams binary"), "language-chunks")
+    asked = chunks.select("chunk", "grams").mapInArrow(grams_task, "chunk long, gram long")
+    if names:
+        known = asked.join(log_probabilities(counts, asked, names), "gram")
+    else:
+        known = asked.where("false").withColumn("logs", F.array().cast("array<float>"))
     schema = f"id {kind}, held_out boolean, lang string, pred string, entropy double, score double, size long"
-    return map_columns(rows, entropy_columns, schema, shared)
+    types = {"pred": pa.string(), "entropy": pa.float64(), "score": pa.float64(), "size": pa.int64()}
+
+    def run(packed: pa.Table, known: pa.Table) -> pa.Table:
+        return pa.table({k: pa.array(v, types[k]) if k in types else v for k, v in scored_chunk(packed, known, names).items()})
+
+    return chunks.select("chunk", "packed").groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(run, schema)
 
 
 def held_out(id_column: str) -> Column:
@@ -256,11 +341,11 @@ def identify_language(
     """
     kind = docs.schema[id_column].dataType.simpleString()
     out_of_training = held_out(split_column or id_column)
-    models = train(docs.where(~out_of_training), text_column, lang_column)
+    counts = train(docs.where(~out_of_training), text_column, lang_column)
     rows = docs.select(
         F.col(id_column).alias("id"), out_of_training.alias("held_out"), F.col(lang_column).cast("string").alias("lang"), F.col(text_column).alias("t")
     )
-    scored = stored(predicted(rows, models, kind), "language-scored")
+    scored = stored(predicted(rows, counts, kind), "language-scored")
     right = scored.where(~F.col("held_out") & (F.col("lang") == F.col("pred")))
     means = right.groupBy("pred").agg(F.avg("entropy").alias("mean"))
     # Sums that one pass can merge: spread is the mean of n * (entropy - mean)^2.
