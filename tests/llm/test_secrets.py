@@ -1,6 +1,7 @@
 import base64
 import gzip
 import hashlib
+import random
 import re
 import urllib.parse
 import zlib
@@ -54,6 +55,26 @@ def test_layers_map_to_the_original_place():
     assert spans(f"ab {nested}") == [f"assign:3:{3 + len(nested)}"]
 
 
+def test_runs_of_base64_are_read_whole():
+    rng = random.Random(4)
+    noise = lambda: "".join(rng.choices("abcdefghij klmnopq,.", k=80))
+    for _ in range(40):  # URL-safe streams are not torn at '-' and '_'
+        packed = base64.urlsafe_b64encode(zlib.compress(f"{noise()} {KEY} {noise()}".encode())).decode()
+        assert spans(f"x {packed} y") == [f"assign:2:{2 + len(packed)}"]
+    text = f"{noise()[:50]} {KEY} {noise()}"
+    for data in (text.encode(), gzip.compress(text.encode())):
+        for width in (12, 64, 76):  # wrapped lines are one run
+            code = base64.b64encode(data).decode()
+            wrapped = "\n".join(code[i : i + width] for i in range(0, len(code), width))
+            assert spans(f"x\t{wrapped} y") == [f"assign:2:{2 + len(wrapped)}"]
+    for glue in ("a", "ab", "abc", "path/", "some/path/to/"):  # other characters before the run
+        plainly = glue + base64.b64encode(KEY.encode()).decode()
+        found = spans(plainly)
+        assert len(found) == 1 and found[0].startswith("assign:") and int(found[0].split(":")[1]) <= len(glue)
+        packed = glue + base64.b64encode(zlib.compress(KEY.encode())).decode()
+        assert f"assign:0:{len(packed)}" in spans(packed)
+
+
 def test_layers_end():
     text = KEY
     for _ in range(12):

@@ -3,13 +3,13 @@
 Layers come from a worklist. A layer with URL or Unicode escapes is pushed again with the escapes decoded; each base64 run
 that holds text, or a compressed stream of text, is pushed as a layer of its own. The worklist ends when no new layer
 appears; a layer that was seen before at the same place is not pushed again, so streams that unpack to themselves end too.
+Base64 is tried over both alphabets, across line breaks and at all four alignments, as a run may be glued to other characters.
 Every layer knows which characters of the original text each of its characters came from, and finds are reported there.
 """
 
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import hashlib
 import lzma
@@ -35,25 +35,38 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 URL_RUN = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 UNICODE_RUN = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2})+")
 UNICODE_ONE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})")
-BASE64_RUN = re.compile(r"[A-Za-z0-9+/]{16,}={0,2}|[A-Za-z0-9_-]{16,}={0,2}")
+#: Maximal runs of either alphabet, and those that go on over line breaks (possessive, so that no run is tried twice).
+ALPHABETS = ("A-Za-z0-9+/", "A-Za-z0-9_-")
+BASE64_RUNS = tuple(re.compile(rf"(?<![{a}])[{a}]{{16,}}+={{0,2}}") for a in ALPHABETS)
+WRAPPED_RUNS = tuple(re.compile(rf"(?<![{a}])[{a}]++(?:\r?\n[ \t]*+[{a}]++)++={{0,2}}") for a in ALPHABETS)
+BLANKS = re.compile(r"[\r\n\t ]")
 
 #: A compressed stream is unpacked up to this many bytes of text; what was unpacked by then is scanned.
 MAX_LAYER_BYTES = 64 * 1024 * 1024
 
+#: How compressed streams begin: gzip, zlib, bzip2, xz, zstd.
+STREAM = re.compile(rb"\x1f\x8b|\x78[\x01\x5e\x9c\xda]|BZh|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
+URL_SAFE = str.maketrans("+/", "-_")
+
 Span = tuple[str, int, int]
 
 
 class Layer:
-    """Decoded text and, for each of its characters, where it came from in the original (none: the original itself)."""
+    """Decoded text and where its characters came from in the original: each one, or all from one place (none: the original).
+
+    Finds of a loose layer count only where no other layer has the same kind around them.
+    """
 
-    __slots__ = ("ends", "starts", "text")
+    __slots__ = ("ends", "loose", "starts", "text")
 
-    def __init__(self, text: str, starts: list[int] | None, ends: list[int] | None):
-        self.text, self.starts, self.ends = text, starts, ends
+    def __init__(self, text: str, starts: list[int] | int | None, ends: list[int] | int | None, loose: bool = False):
+        self.text, self.starts, self.ends, self.loose = text, starts, ends, loose
 
     def span(self, start: int, end: int) -> tuple[int, int]:
         if self.starts is None:
             return start, end
+        if isinstance(self.starts, int):
+            return self.starts, self.ends
         return min(self.starts[start:end]), max(self.ends[start:end])
 
 
@@ -100,6 +113,8 @@ def unescaped(layer: Layer, runs: re.Pattern, pieces) -> Layer | None:
 
     def keep(start: int, end: int) -> None:
         out.append(text[start:end])
+        if isinstance(layer.starts, int):
+            return
         starts.extend(range(start, end) if layer.starts is None else layer.starts[start:end])
         ends.extend(range(start + 1, end + 1) if layer.ends is None else layer.ends[start:end])
 
@@ -120,7 +135,9 @@ def unescaped(layer: Layer, runs: re.Pattern, pieces) -> Layer | None:
     if not changed:
         return None
     keep(at, len(text))
-    return Layer("".join(out), starts, ends)
+    if isinstance(layer.starts, int):
+        starts, ends = layer.starts, layer.ends
+    return Layer("".join(out), starts, ends, layer.loose)
 
 
 def unpacked(data: bytes, limit: int) -> bytes | None:
@@ -142,6 +159,16 @@ def unpacked(data: bytes, limit: int) -> bytes | None:
     return None
 
 
+def unpacked_all(data: bytes, limit: int) -> Iterator[bytes]:
+    """Contents of the compressed streams that start anywhere in the bytes, streams in streams unpacked too."""
+    for m in STREAM.finditer(data):
+        content, found = data[m.start() :], False
+        while (inner := unpacked(content, limit)) is not None and inner != content:
+            content, found = inner, True
+        if found:
+            yield content
+
+
 def as_text(data: bytes) -> str | None:
     """Bytes as text, if they are printable UTF-8."""
     try:
@@ -152,22 +179,44 @@ def as_text(data: bytes) -> str | None:
 
 
 def base64_layers(layer: Layer, limit: int) -> Iterator[Layer]:
-    """Texts hidden in the base64 runs of a layer; each of their characters comes from the whole run."""
-    for m in BASE64_RUN.finditer(layer.text):
-        run = m[0].rstrip("=")
-        if len(run) % 4 == 1:
-            continue
-        try:
-            data = base64.b64decode(run + "=" * (-len(run) % 4), b"-_" if "-" in run or "_" in run else None)
-        except (binascii.Error, ValueError):
-            continue
-        content = data
-        while (inner := unpacked(content, limit)) is not None and inner != content:
-            content = inner
-        text = as_text(content)
-        if text is not None:
-            start, end = layer.span(m.start(), m.end())
-            yield Layer(text, [start] * len(text), [end] * len(text))
+    """Texts hidden in the base64 runs of a layer.
+
+    Characters of a text that fills its run, or of a compressed stream, come from the whole run. Of other runs, which may be
+    glued to what stands beside them, every alignment is a loose layer whose characters come from their own codes.
+    """
+    done: list[tuple[int, int]] = []  # wrapped runs that are one text or stream; their lines are not tried apart
+    tried: set[tuple[int, int]] = set()
+    for wrapped, patterns in ((True, WRAPPED_RUNS), (False, BASE64_RUNS)):
+        for pattern in patterns:
+            for m in pattern.finditer(layer.text):
+                place = m.span()
+                if place in tried or any(start <= place[0] and place[1] <= end for start, end in done):
+                    continue
+                tried.add(place)
+                run = (BLANKS.sub("", m[0]) if wrapped else m[0]).rstrip("=")
+                if len(run) < 16:
+                    continue
+                whole, filled = layer.span(*place), False
+                loose: list[tuple[int, bytes]] = []
+                for shift in range(4):
+                    codes = run[shift : len(run) - ((len(run) - shift) % 4 == 1)]
+                    data = base64.urlsafe_b64decode(codes.translate(URL_SAFE) + "=" * (-len(codes) % 4))
+                    streams = [text for content in unpacked_all(data, limit) if (text := as_text(content)) is not None]
+                    text = as_text(data) if shift == 0 and len(run) % 4 != 1 else None
+                    for hidden in streams if text is None else [*streams, text]:
+                        filled = True
+                        yield Layer(hidden, whole[0], whole[1])
+                    if filled:
+                        break
+                    loose.append((shift, data))
+                if filled:
+                    if wrapped:
+                        done.append(place)
+                    continue
+                places = [i for i in range(*place) if not BLANKS.match(layer.text[i])]
+                for shift, data in loose:
+                    bounds = [layer.span(places[shift + 8 * i // 6], places[shift + (8 * i + 7) // 6] + 1) for i in range(len(data))]
+                    yield Layer(data.decode("latin-1"), [x for x, _ in bounds], [y for _, y in bounds], True)
 
 
 def scan(text: str, limit: int = MAX_LAYER_BYTES) -> tuple[list[Span], list[Span]]:
@@ -179,10 +228,11 @@ def scan(text: str, limit: int = MAX_LAYER_BYTES) -> tuple[list[Span], list[Span
 
     base = placed(finds(text))
     found, seen, work = set(base), {(0, len(text), text)}, [Layer(text, None, None)]
+    loose: set[Span] = set()
     while work:
         layer = work.pop()
         if layer.starts is not None:
-            found.update((kind, *layer.span(start, end)) for kind, start, end in finds(layer.text))
+            (loose if layer.loose else found).update((kind, *layer.span(start, end)) for kind, start, end in finds(layer.text))
         inner: list[Layer | None] = []
         if "%" in layer.text:
             inner.append(unescaped(layer, URL_RUN, url_pieces))
@@ -192,11 +242,13 @@ def scan(text: str, limit: int = MAX_LAYER_BYTES) -> tuple[list[Span], list[Span
         for new in inner:
             if new is None or not new.text:
                 continue
+            new.loose |= layer.loose
             key = (*new.span(0, len(new.text)), new.text)
             if key not in seen:
                 seen.add(key)
                 work.append(new)
-    return base, placed(found)
+    covered = lambda x: any(k == x[0] and start <= x[1] and x[2] <= end for k, start, end in found)
+    return base, placed(found | {x for x in loose if not covered(x)})
 
 
 def joined(spans: list[Span]) -> str:
