@@ -1,11 +1,15 @@
 import base64
+import bz2
 import gzip
 import hashlib
+import lzma
 import random
 import re
 import urllib.parse
 import zlib
 
+import zstandard
+
 from tests.llm.rows import EDGE, documents, edge, empty
 from tidemark.llm.secrets import find_secrets, redact_secrets, scan
 
@@ -75,6 +79,27 @@ def test_runs_of_base64_are_read_whole():
         assert f"assign:0:{len(packed)}" in spans(packed)
 
 
+def test_layers_are_scanned_whole():
+    code = lambda data: base64.b64encode(data).decode()
+    for odd in ("\u00a0", "\ufeff", "\u200b", "\u00ad", "\0", "\x1b"):
+        data = f"voilà{odd}: {KEY}".encode()
+        for packed in (code(data), code(zlib.compress(data)), code(bz2.compress(data))):
+            assert spans(packed) == [f"assign:0:{len(packed)}"]
+    bad = code(b"\xff\xfe " + KEY.encode() + b" caf\xe9")
+    assert [s.split(":")[0] for s in spans(bad)] == ["assign"]
+    best = code(lzma.compress(KEY.encode(), preset=9))
+    assert spans(best) == [f"assign:0:{len(best)}"]
+    frame = zstandard.ZstdCompressor().compress
+    for pack in (gzip.compress, bz2.compress, lzma.compress, frame):  # all members, and all blocks of the size
+        several = code(pack(b"first \xc3\xa9 ") + pack(f"then {KEY}".encode()))
+        assert spans(several) == [f"assign:0:{len(several)}"]
+        for lead in range(990, 1010):
+            long = code(pack(("é" * lead + f" {KEY} " + "z " * 3000).encode()))
+            assert [f"{k}:{a}:{b}" for k, a, b in scan(long, 2001)[1]] == [f"assign:0:{len(long)}"]
+    cut = code(zlib.compress((f"{KEY} " + "".join(map(chr, range(32, 127))) * 50).encode())[:-4])
+    assert spans(cut) == [f"assign:0:{len(cut)}"]
+
+
 def test_layers_end():
     text = KEY
     for _ in range(12):

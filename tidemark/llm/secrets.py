@@ -16,6 +16,7 @@ import lzma
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import zstandard
 from pyspark.sql import DataFrame
@@ -41,9 +42,11 @@ BASE64_RUNS = tuple(re.compile(rf"(?<![{a}])[{a}]{{16,}}+={{0,2}}") for a in ALP
 WRAPPED_RUNS = tuple(re.compile(rf"(?<![{a}])[{a}]++(?:\r?\n[ \t]*+[{a}]++)++={{0,2}}") for a in ALPHABETS)
 BLANKS = re.compile(r"[\r\n\t ]")
 
-#: A compressed stream is unpacked up to this many bytes of text; what was unpacked by then is scanned.
-MAX_LAYER_BYTES = 64 * 1024 * 1024
+#: A compressed stream is unpacked and scanned in blocks of so many bytes, each with the last of the block before it.
+MAX_LAYER_BYTES, OVERLAP = 64 * 1024 * 1024, 1024 * 1024
 
+#: Bytes unpacked at once.
+STEP = 1024 * 1024
 #: How compressed streams begin: gzip, zlib, bzip2, xz, zstd.
 STREAM = re.compile(rb"\x1f\x8b|\x78[\x01\x5e\x9c\xda]|BZh|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
 URL_SAFE = str.maketrans("+/", "-_")
@@ -140,42 +143,98 @@ def unescaped(layer: Layer, runs: re.Pattern, pieces) -> Layer | None:
     return Layer("".join(out), starts, ends, layer.loose)
 
 
-def unpacked(data: bytes, limit: int) -> bytes | None:
-    """The content of a compressed stream, or none if the bytes are not one."""
-    try:
-        if data[:2] == b"\x1f\x8b":
-            return zlib.decompressobj(31).decompress(data, limit)
-        if data[:1] == b"\x78" and len(data) > 2 and (data[0] * 256 + data[1]) % 31 == 0:
-            return zlib.decompressobj().decompress(data, limit)
-        if data[:3] == b"BZh":
-            return bz2.BZ2Decompressor().decompress(data, limit)
-        if data[:6] == b"\xfd7zXZ\x00":
-            return lzma.LZMADecompressor(memlimit=limit).decompress(data, limit)
-        if data[:4] == b"\x28\xb5\x2f\xfd":
-            with zstandard.ZstdDecompressor(max_window_size=limit).stream_reader(data) as reader:
-                return reader.read(limit)
-    except (zlib.error, OSError, EOFError, ValueError, lzma.LZMAError, zstandard.ZstdError):
-        return None
+def opened(data: memoryview) -> zlib._Decompress | bz2.BZ2Decompressor | lzma.LZMADecompressor | None:
+    """A decompressor for the stream at the start of the bytes; none if it is zstd or no stream."""
+    head = bytes(data[:6])
+    if head[:2] == b"\x1f\x8b":
+        return zlib.decompressobj(31)
+    if head[:1] == b"\x78" and len(data) > 2 and (head[0] * 256 + head[1]) % 31 == 0:
+        return zlib.decompressobj()
+    if head[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if head == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor()
     return None
 
 
-def unpacked_all(data: bytes, limit: int) -> Iterator[bytes]:
-    """Contents of the compressed streams that start anywhere in the bytes, streams in streams unpacked too."""
-    for m in STREAM.finditer(data):
-        content, found = data[m.start() :], False
-        while (inner := unpacked(content, limit)) is not None and inner != content:
-            content, found = inner, True
-        if found:
-            yield content
+def members(data: memoryview, limit: int, whole: list[bool]) -> Iterator[bytes]:
+    """What a compressed stream and those right behind it unpack to, up to the first error, in parts of at most ``limit``.
+
+    ``whole`` gets an entry if no byte was left over.
+    """
+    try:
+        if bytes(data[:4]) == b"\x28\xb5\x2f\xfd":
+            with zstandard.ZstdDecompressor(max_window_size=1 << 31).stream_reader(data, read_across_frames=True) as reader:
+                while part := reader.read(min(limit, STEP)):
+                    yield part
+            whole.append(True)
+            return
+        while (stream := opened(data)) is not None:
+            given = data
+            while not stream.eof:
+                part = stream.decompress(given, min(limit, STEP))
+                given = stream.unconsumed_tail if hasattr(stream, "unconsumed_tail") else b""
+                if part:
+                    yield part
+                elif not given or getattr(stream, "needs_input", False):
+                    break
+            if not stream.eof:
+                whole.append(True)
+                return
+            data = data[len(data) - len(stream.unused_data) :]
+            while len(data) and data[0] == 0:  # padding between members
+                data = data[1:]
+            if not len(data):
+                whole.append(True)
+                return
+    except (zlib.error, OSError, EOFError, ValueError, MemoryError, lzma.LZMAError, zstandard.ZstdError):
+        return
+
+
+def unpacked(data: memoryview, limit: int, whole: list[bool]) -> Iterator[bytes]:
+    """The content of compressed streams in blocks that overlap; nothing if the bytes are none."""
+    held, size, before = [], 0, 0
+    for part in members(data, limit, whole):
+        held.append(part)
+        size += len(part)
+        if size >= limit:
+            block = b"".join(held)
+            yield block
+            held = [block[-min(OVERLAP, limit // 2) :]] if limit > 1 else []
+            size = before = sum(map(len, held))
+    if size > before:
+        yield b"".join(held)
+
+
+def unpacked_all(data: bytes, limit: int, whole: list[bool]) -> Iterator[bytes]:
+    """Contents of the compressed streams that start anywhere in the bytes, and of streams that these begin with.
+
+    ``whole`` gets an entry if the bytes are streams from the first to the last.
+    """
+    work = [memoryview(data)[m.start() :] for m in STREAM.finditer(data)]
+    seen = {data}
+    while work:
+        part = work.pop()
+        for block in unpacked(part, limit, whole if part.obj is data and len(part) == len(data) else []):
+            if block not in seen:
+                yield block
+                if STREAM.match(block):
+                    seen.add(block)
+                    work.append(memoryview(block))
+
 
+def as_text(data: bytes) -> str:
+    """Bytes as text; those that are not UTF-8 become marks."""
+    return data.decode("utf-8", "replace")
 
-def as_text(data: bytes) -> str | None:
-    """Bytes as text, if they are printable UTF-8."""
+
+def is_text(data: bytes) -> bool:
+    """Whether the bytes are UTF-8 and most characters printable: what is decoded out of step is not."""
     try:
         text = data.decode("utf-8")
     except UnicodeDecodeError:
-        return None
-    return text if text and all(c.isprintable() or c in "\t\n\r\f\v" for c in text) else None
+        return False
+    return 10 * sum(c.isprintable() or c in "\t\n\r\f\v" for c in text) >= 9 * len(text) > 0
 
 
 def base64_layers(layer: Layer, limit: int) -> Iterator[Layer]:
@@ -184,39 +243,43 @@ def base64_layers(layer: Layer, limit: int) -> Iterator[Layer]:
     Characters of a text that fills its run, or of a compressed stream, come from the whole run. Of other runs, which may be
     glued to what stands beside them, every alignment is a loose layer whose characters come from their own codes.
     """
-    done: list[tuple[int, int]] = []  # wrapped runs that are one text or stream; their lines are not tried apart
-    tried: set[tuple[int, int]] = set()
-    for wrapped, patterns in ((True, WRAPPED_RUNS), (False, BASE64_RUNS)):
+    runs = {}
+    for wrapped, patterns in ((False, BASE64_RUNS), (True, WRAPPED_RUNS)):
         for pattern in patterns:
             for m in pattern.finditer(layer.text):
-                place = m.span()
-                if place in tried or any(start <= place[0] and place[1] <= end for start, end in done):
-                    continue
-                tried.add(place)
                 run = (BLANKS.sub("", m[0]) if wrapped else m[0]).rstrip("=")
-                if len(run) < 16:
-                    continue
-                whole, filled = layer.span(*place), False
-                loose: list[tuple[int, bytes]] = []
-                for shift in range(4):
-                    codes = run[shift : len(run) - ((len(run) - shift) % 4 == 1)]
-                    data = base64.urlsafe_b64decode(codes.translate(URL_SAFE) + "=" * (-len(codes) % 4))
-                    streams = [text for content in unpacked_all(data, limit) if (text := as_text(content)) is not None]
-                    text = as_text(data) if shift == 0 and len(run) % 4 != 1 else None
-                    for hidden in streams if text is None else [*streams, text]:
-                        filled = True
-                        yield Layer(hidden, whole[0], whole[1])
-                    if filled:
-                        break
-                    loose.append((shift, data))
-                if filled:
-                    if wrapped:
-                        done.append(place)
-                    continue
-                places = [i for i in range(*place) if not BLANKS.match(layer.text[i])]
-                for shift, data in loose:
-                    bounds = [layer.span(places[shift + 8 * i // 6], places[shift + (8 * i + 7) // 6] + 1) for i in range(len(data))]
-                    yield Layer(data.decode("latin-1"), [x for x, _ in bounds], [y for _, y in bounds], True)
+                if len(run) >= 16:
+                    runs[m.span()] = run.translate(URL_SAFE)
+    last = -1  # runs up to here lie within one that is a text or stream from end to end
+    for place in sorted(runs, key=lambda x: (x[0], -x[1])):
+        if place[1] <= last:
+            continue
+        run, (start, end), whole, loose = runs[place], layer.span(*place), [], []
+        for shift in range(4):
+            codes = run[shift : len(run) - ((len(run) - shift) % 4 == 1)]
+            data = base64.urlsafe_b64decode(codes + "=" * (-len(codes) % 4))
+            ended: list[bool] = []
+            for content in unpacked_all(data, limit, ended):
+                yield Layer(as_text(content), start, end)
+            if shift == 0 and len(run) % 4 != 1:
+                whole = ended
+                if not whole and is_text(data):
+                    whole = [True]
+                    yield Layer(as_text(data), start, end)
+            if whole:
+                break
+            loose.append((shift, data))
+        if whole:
+            last = max(last, place[1])
+            continue
+        places = [i for i in range(*place) if not BLANKS.match(layer.text[i])]
+        for shift, data in loose:
+            bounds = [layer.span(places[shift + 8 * i // 6], places[shift + (8 * i + 7) // 6] + 1) for i in range(len(data))]
+            yield Layer(data.decode("latin-1"), [x for x, _ in bounds], [y for _, y in bounds], True)
+
+
+def digest(text: str) -> bytes:
+    return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
 
 
 def scan(text: str, limit: int = MAX_LAYER_BYTES) -> tuple[list[Span], list[Span]]:
@@ -226,27 +289,27 @@ def scan(text: str, limit: int = MAX_LAYER_BYTES) -> tuple[list[Span], list[Span
     def placed(spans) -> list[Span]:
         return sorted(set(spans), key=lambda s: (s[1], order[s[0]], s[2]))
 
+    def inside(layer: Layer) -> Iterator[Layer]:
+        escaped = [unescaped(layer, URL_RUN, url_pieces) if "%" in layer.text else None]
+        escaped.append(unescaped(layer, UNICODE_RUN, unicode_pieces) if "\\" in layer.text else None)
+        for new in chain(escaped, base64_layers(layer, limit)):
+            if new is not None and new.text:
+                new.loose |= layer.loose
+                yield new
+
     base = placed(finds(text))
-    found, seen, work = set(base), {(0, len(text), text)}, [Layer(text, None, None)]
-    loose: set[Span] = set()
+    found, loose, seen = set(base), set(), {(0, len(text), digest(text))}
+    work = [inside(Layer(text, None, None))]  # layers are made when their turn comes: of a long stream, one block at a time
     while work:
-        layer = work.pop()
-        if layer.starts is not None:
+        layer = next(work[-1], None)
+        if layer is None:
+            work.pop()
+            continue
+        key = (*layer.span(0, len(layer.text)), digest(layer.text))
+        if key not in seen:
+            seen.add(key)
             (loose if layer.loose else found).update((kind, *layer.span(start, end)) for kind, start, end in finds(layer.text))
-        inner: list[Layer | None] = []
-        if "%" in layer.text:
-            inner.append(unescaped(layer, URL_RUN, url_pieces))
-        if "\\" in layer.text:
-            inner.append(unescaped(layer, UNICODE_RUN, unicode_pieces))
-        inner.extend(base64_layers(layer, limit))
-        for new in inner:
-            if new is None or not new.text:
-                continue
-            new.loose |= layer.loose
-            key = (*new.span(0, len(new.text)), new.text)
-            if key not in seen:
-                seen.add(key)
-                work.append(new)
+            work.append(inside(layer))
     covered = lambda x: any(k == x[0] and start <= x[1] and x[2] <= end for k, start, end in found)
     return base, placed(found | {x for x in loose if not covered(x)})
 
