@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidemark.llm.common import stored
 
@@ -295,7 +297,7 @@ def scored_chunk(packed: pa.Table, known: pa.Table, names: list[str]) -> dict:
         out["pred"].append(names[best])
         out["entropy"].append(float(entropy[best]))
         out["score"].append(float(1 / np.exp(-SHARPNESS * (entropy - entropy[best])).sum()))
-    return {name: rows[name] for name in ("id", "held_out", "lang")} | out
+    return {name: rows[name].to_pylist() for name in ("id", "held_out", "lang")} | out
 
 
 def predicted(rows: DataFrame, counts: DataFrame, kind: str) -> DataFrame:
@@ -308,10 +310,11 @@ def predicted(rows: DataFrame, counts: DataFrame, kind: str) -> DataFrame:
     else:
         known = asked.where("false").withColumn("logs", F.array().cast("array<float>"))
     schema = f"id {kind}, held_out boolean, lang string, pred string, entropy double, score double, size long"
-    types = {"pred": pa.string(), "entropy": pa.float64(), "score": pa.float64(), "size": pa.int64()}
+    arrow = to_arrow_schema(T.StructType.fromDDL(schema))
 
     def run(packed: pa.Table, known: pa.Table) -> pa.Table:
-        return pa.table({k: pa.array(v, types[k]) if k in types else v for k, v in scored_chunk(packed, known, names).items()})
+        out = scored_chunk(packed, known, names)
+        return pa.Table.from_arrays([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
 
     return chunks.select("chunk", "packed").groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(run, schema)
 
