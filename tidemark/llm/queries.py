@@ -17,6 +17,7 @@ from tidemark.llm.quality import JUDGE_SQL, judge_quality
 from tidemark.llm.secrets import find_secrets
 from tidemark.llm.simhash import near_duplicates
 from tidemark.llm.suffix_dedup import remove_earlier_strings
+from tidemark.llm.syncmers import edits_sql, fingerprint_edits
 from tidemark.llm.warc import read_archives, write_archives
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +95,8 @@ def suffix_repeats(spark: SparkSession, folder: str) -> DataFrame:
 def license_scan(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return scan_licenses(docs.select("doc_id", "text", F.expr(PATH_SQL).alias("path")))
+
+
+@query("op11_syncmer_fingerprints", edits_sql())
+def syncmer_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprint_edits(table(spark, folder, "documents"))
