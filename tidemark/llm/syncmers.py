@@ -12,6 +12,9 @@ Everything stays in built-in functions: arrays per text, no row per anchor, no P
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,9 +42,9 @@ def with_marks(df: DataFrame, text: str, marks: str) -> DataFrame:
     split = split.withColumn(inner, F.when(F.size(w) < LENGTH, F.array().cast("array<string>")).otherwise(pairs))
 
     def closed(i: Column) -> Column:
-        inside = [F.get(g, i - 1 + k) for k in range(LENGTH - INNER + 1)]
-        least = F.least(*inside)
-        return (least == inside[0]) | (least == inside[-1])
+        first, *middle, last = [F.element_at(g, i + k if k else i) for k in range(LENGTH - INNER + 1)]
+        opens = reduce(and_, [first <= other for other in (*middle, last)])  # settled by the first smaller one
+        return opens | reduce(and_, [last <= other for other in (*middle, first)])
 
     def digest(tokens: Column) -> Column:
         return F.substring(F.md5(F.array_join(tokens, " ")), 1, DIGITS)
@@ -74,6 +77,11 @@ def likeness(a: str, b: str) -> Column:
     return F.when(F.size(a) + F.size(b) == 0, F.lit(1.0)).otherwise(F.size(both) / F.size(least))
 
 
+def kept_places(a: str, b: str) -> Column:
+    """Number of anchors that two texts have at the same place, from their arrays of marks."""
+    return F.size(F.array_intersect(a, b)).cast("long")
+
+
 def successors(docs: DataFrame) -> DataFrame:
     """For every distinct (id, digest) of ``docs`` (id, digest, n_chars) the document before it in descending order of id,
     then of digest, null ids last; the first follows the last. Columns: id, digest, for_id, for_digest, need, where ``need``
@@ -94,8 +102,7 @@ def fingerprint_edits(docs: DataFrame, id_column: str = "doc_id", text_column: s
 
     The edit replaces the last third of a text (code points, rounded down) by the start of the next document in descending
     order of id, up to the same length; the document after the last is the first. Columns: the id, n_chars, edited_sha256,
-    fingerprint, edited_fingerprint, near_edited, near_next (likeness to the edit and to the next document), n_anchors and
-    n_kept (anchors, and those that the edit has at the same place).
+    fingerprint, edited_fingerprint, near_edited and near_next (likeness to the edit and to the next document).
 
     Null texts are empty. Null ids come last in the order; rows of equal id are ordered by the MD5 digest of their texts,
     and rows equal in both are one document of the order and all get its values. A single document is followed by itself.
@@ -121,13 +128,11 @@ def fingerprint_edits(docs: DataFrame, id_column: str = "doc_id", text_column: s
     meets = marked["id"].eqNullSafe(heads["for_id"]) & (marked["digest"] == heads["for_digest"])
     kept = F.substring("t", F.lit(1), (F.col("n_chars") - F.floor(F.col("n_chars") / 3)).cast("int"))
     edited = marked.join(heads, meets).select(
-        "id", "t", "n_chars", "fingerprint", "next_print", F.concat(kept, F.col("head")).alias("edited")
+        "id", "n_chars", "fingerprint", "next_print", F.concat(kept, F.col("head")).alias("edited")
     )
-    edited = with_marks(with_marks(edited, "t", "marks"), "edited", "edited_marks")
-    edited = edited.select(
+    edited = with_marks(edited, "edited", "marks").select(
         "id", "n_chars", "fingerprint", "next_print", F.sha2("edited", 256).alias("edited_sha256"),
-        fingerprint("edited_marks").alias("edited_fingerprint"), F.size("marks").cast("long").alias("n_anchors"),
-        F.size(F.array_intersect("marks", "edited_marks")).cast("long").alias("n_kept"),
+        fingerprint("marks").alias("edited_fingerprint"),
     )
     for name in ("fingerprint", "edited_fingerprint", "next_print"):
         edited = with_sketch(edited, name, f"{name}_sketch")
@@ -135,12 +140,11 @@ def fingerprint_edits(docs: DataFrame, id_column: str = "doc_id", text_column: s
         F.col("id").alias(id_column), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
         likeness("fingerprint_sketch", "edited_fingerprint_sketch").alias("near_edited"),
         likeness("fingerprint_sketch", "next_print_sketch").alias("near_next"),
-        "n_anchors", "n_kept",
     )
 
 
-def marks_sql(text: str) -> str:
-    """DuckDB: a list of marks of a text expression, in a query block that has the list of its tokens as ``w``."""
+def marks_sql() -> str:
+    """DuckDB: the list of marks in a query block that has tokens and digests of inner runs as lists ``w`` and ``g``."""
     inside = ", ".join(f"g[i + {k}]" if k else "g[i]" for k in range(LENGTH - INNER + 1))
     ends = f"g[i], g[i + {LENGTH - INNER}]"
     return f"""
@@ -171,16 +175,16 @@ s AS (SELECT r, 0 AS kind, t AS x FROM e UNION ALL SELECT r, 1, edited FROM e),
 tokens AS (SELECT r, kind, regexp_extract_all(x, '{TOKEN}') AS w FROM s),
 inner_runs AS (
   SELECT *, list_transform(range(1, len(w)), lambda i: md5(w[i] || ' ' || w[i + 1])) AS g FROM tokens),
-marked AS (SELECT r, kind, {marks_sql("x")} AS m FROM inner_runs),
+marked AS (SELECT r, kind, {marks_sql()} AS m FROM inner_runs),
 sketched AS (
   SELECT *, list_sort(list_distinct(list_transform(m, lambda y: left(y, {DIGITS}))))[1:{SKETCH}] AS k FROM marked),
 j AS (
-  SELECT e.doc_id, e.h, e.n, sha256(e.edited) AS edited_sha256, x.k, y.k AS ek, z.k AS nk, x.m, y.m AS em
+  SELECT e.doc_id, e.h, e.n, sha256(e.edited) AS edited_sha256, x.k, y.k AS ek, z.k AS nk
   FROM e
   JOIN sketched x ON x.r = e.r AND x.kind = 0
   JOIN sketched y ON y.r = e.r AND y.kind = 1
   JOIN sketched z ON z.r = e.next_r AND z.kind = 0)
 SELECT d.doc_id, j.n AS n_chars, j.edited_sha256, array_to_string(k, '') AS fingerprint,
        array_to_string(ek, '') AS edited_fingerprint, {likeness_sql("k", "ek")} AS near_edited,
-       {likeness_sql("k", "nk")} AS near_next, len(m)::BIGINT AS n_anchors, len(list_intersect(m, em))::BIGINT AS n_kept
+       {likeness_sql("k", "nk")} AS near_next
 FROM documents d JOIN j ON d.doc_id IS NOT DISTINCT FROM j.doc_id AND md5(COALESCE(d.text, '')) = j.h"""
