@@ -83,18 +83,15 @@ def kept_places(a: str, b: str) -> Column:
 
 
 def successors(docs: DataFrame) -> DataFrame:
-    """For every distinct (id, digest) of ``docs`` (id, digest, n_chars) the document before it in descending order of id,
-    then of digest, null ids last; the first follows the last. Columns: id, digest, for_id, for_digest, need, where ``need``
-    is a third of the length of the document before, rounded down."""
-    rows = docs.select("id", "digest", "n_chars").distinct()
-    order = [F.col("id").desc_nulls_last(), F.col("digest")]
-    placed = numbered(rows, order, "nth")
+    """For every distinct row of ``docs`` (id, digest, key, n_chars) the document before it in descending order of id, then
+    of digest, null ids last; the first follows the last. Columns: key, for_key, need, where ``need`` is a third of the
+    length of the document before, rounded down. ``key`` stands for id and digest."""
+    rows = docs.select("id", "digest", "key", "n_chars").distinct()
+    placed = numbered(rows, [F.col("id").desc_nulls_last(), F.col("digest")], "nth")
     last = placed.agg(F.max("nth")).first()[0]  # one number
     after = F.when(F.col("nth") == F.lit(last), F.lit(0)).otherwise(F.col("nth") + 1).cast("long")
-    before = placed.select(
-        after.alias("nth"), F.col("id").alias("for_id"), F.col("digest").alias("for_digest"), F.floor(F.col("n_chars") / 3).alias("need")
-    )
-    return placed.join(before, "nth").select("id", "digest", "for_id", "for_digest", F.col("need").cast("int").alias("need"))
+    before = placed.select(after.alias("nth"), F.col("key").alias("for_key"), F.floor(F.col("n_chars") / 3).alias("need"))
+    return placed.join(before, "nth").select("key", "for_key", F.col("need").cast("int").alias("need"))
 
 
 def fingerprint_edits(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -106,29 +103,30 @@ def fingerprint_edits(docs: DataFrame, id_column: str = "doc_id", text_column: s
 
     Null texts are empty. Null ids come last in the order; rows of equal id are ordered by the MD5 digest of their texts,
     and rows equal in both are one document of the order and all get its values. A single document is followed by itself.
-    An empty table gives no rows. Other columns are ignored.
+    An empty table gives no rows. Other columns are ignored. Ids are of a type that survives a cast to string and back.
 
     Texts are exchanged once by (id, digest), with their fingerprints; that exchange serves the pass that cuts the heads of
     the next documents and the join that takes them in. Heads are at most as long as a third of the text before.
     """
     text = F.coalesce(F.col(text_column), F.lit(""))
-    rows = docs.select(F.col(id_column).alias("id"), text.alias("t")).withColumns(
-        {"digest": F.md5("t"), "n_chars": F.length("t").cast("long")}
-    )
-    chain = successors(rows)
-    marked = with_marks(rows, "t", "marks").withColumn("fingerprint", fingerprint("marks"))
-    marked = marked.select("id", "digest", "t", "n_chars", "fingerprint")
-
-    same = marked["id"].eqNullSafe(chain["id"]) & (marked["digest"] == chain["digest"])
-    heads = marked.join(chain, same).select(
-        "for_id", "for_digest", F.substring("t", F.lit(1), F.col("need")).alias("head"), marked["fingerprint"].alias("next_print")
-    )
-    heads = heads.groupBy("for_id", "for_digest").agg(F.first("head").alias("head"), F.first("next_print").alias("next_print"))
-
-    meets = marked["id"].eqNullSafe(heads["for_id"]) & (marked["digest"] == heads["for_digest"])
-    kept = F.substring("t", F.lit(1), (F.col("n_chars") - F.floor(F.col("n_chars") / 3)).cast("int"))
-    edited = marked.join(heads, meets).select(
-        "id", "n_chars", "fingerprint", "next_print", F.concat(kept, F.col("head")).alias("edited")
+    n_chars = F.length("t").cast("long")
+    rows = docs.select(F.col(id_column).alias("id"), text.alias("t")).withColumn("digest", F.md5("t"))
+    name = F.when(F.isnull("id"), F.lit("-")).otherwise(F.concat(F.lit("="), F.col("id").cast("string")))
+    rows = rows.withColumn("key", F.concat("digest", name))
+    chain = successors(rows.withColumn("n_chars", n_chars))
+    # Both branches below take the same columns, so that they share one exchange.
+    marked = with_marks(rows, "t", "marks").select("key", "t", fingerprint("marks").alias("fingerprint"))
+
+    head = F.substring("t", F.lit(1), F.col("need")).alias("head")
+    heads = marked.join(chain, "key").select("for_key", head, F.col("fingerprint").alias("next_print"))
+    # Rows that repeat id and text give one head.
+    firsts = [F.first("head").alias("head"), F.first("next_print").alias("next_print")]
+    heads = heads.groupBy(F.col("for_key").alias("key")).agg(*firsts)
+
+    kept = F.substring("t", F.lit(1), (n_chars - F.floor(n_chars / 3)).cast("int"))
+    read_back = F.when(F.substring("key", 33, 1) == "=", F.expr("substring(key, 34)").cast(docs.schema[id_column].dataType))
+    edited = marked.join(heads, "key").select(
+        read_back.alias("id"), n_chars.alias("n_chars"), "fingerprint", "next_print", F.concat(kept, F.col("head")).alias("edited")
     )
     edited = with_marks(edited, "edited", "marks").select(
         "id", "n_chars", "fingerprint", "next_print", F.sha2("edited", 256).alias("edited_sha256"),
