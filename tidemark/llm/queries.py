@@ -18,6 +18,7 @@ from tidemark.llm.secrets import find_secrets
 from tidemark.llm.simhash import near_duplicates
 from tidemark.llm.suffix_dedup import remove_earlier_strings
 from tidemark.llm.syncmers import edits_sql, fingerprint_edits
+from tidemark.llm.tokenizer_alignment import align_tokens
 from tidemark.llm.warc import read_archives, write_archives
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +101,8 @@ def license_scan(spark: SparkSession, folder: str) -> DataFrame:
 @query("op11_syncmer_fingerprints", edits_sql())
 def syncmer_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprint_edits(table(spark, folder, "documents"))
+
+
+@query("op12_token_alignment")
+def token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return align_tokens(table(spark, folder, "documents"))
