@@ -14,17 +14,18 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import json
 from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
 from tidemark.llm.common import stored
 
@@ -32,8 +33,12 @@ from tidemark.llm.common import stored
 FILES = ("/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model")
 #: Vocabularies go to the tasks as they are; larger files are refused.
 MOST_FILE_BYTES = 64 * 1024 * 1024
+#: How the byte-level tokenizer splits text before its merges (fixed value of its public vocabulary).
+SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Decimal digits of the largest id.
+WIDTH = 5
 #: UTF-8 bytes of text that are aligned and stored together; a single text may be longer.
-CHUNK_BYTES = 8 * 1024 * 1024
+CHUNK_BYTES = 4 * 1024 * 1024
 #: Long texts are tokenised in segments of about this many characters, cut where neither tokenizer has a token across.
 SEGMENT = 1 << 18
 
@@ -52,48 +57,45 @@ def read_file(spark: SparkSession, path: str) -> bytes:
     return content
 
 
-class Vocabulary:
-    """Ids of one tokenizer for segments of text, and the bytes of each id."""
+class ByteTokens:
+    """Byte-level BPE of a ``tokenizers`` file, run by ``tiktoken``.
 
-    def __init__(self, content: list[bytes]):
-        self.content = content
-        self.lengths = np.array([len(b) for b in content], np.int64)
-        self.names = [str(i) for i in range(len(content))]
-
-
-class ByteTokens(Vocabulary):
-    """Byte-level BPE: each character of an entry stands for one byte."""
+    The file must have its pieces in the order of its merges, so that an id is a merge's rank, and split text as ``SPLIT``.
+    """
 
     def __init__(self, file: bytes):
-        self.tokenizer = Tokenizer.from_str(file.decode("utf-8"))
-        self.tokenizer.encode_special_tokens = True
+        parts = json.loads(file)
         # Printable Latin-1 characters stand for their own byte, the others for characters from 256 on, in their order.
         own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         others = [b for b in range(256) if b not in own]
         byte = {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(others)}
-        entries = self.tokenizer.get_vocab(with_added_tokens=True)
-        content = [b""] * (max(entries.values()) + 1)
-        for entry, i in entries.items():
-            content[i] = bytes(byte[c] for c in entry) if all(c in byte for c in entry) else entry.encode("utf-8")
-        super().__init__(content)
+        special = {t["id"] for t in parts["added_tokens"]}
+        ranks = {bytes(byte[c] for c in entry): i for entry, i in parts["model"]["vocab"].items() if i not in special}
+        merges = [m if isinstance(m, str) else " ".join(m) for m in parts["model"]["merges"]]
+        if [parts["model"]["vocab"][m.replace(" ", "")] for m in merges] != list(range(256, 256 + len(merges))):
+            raise ValueError("the pieces of the byte-level file are not in the order of its merges")
+        self.encoding = tiktoken.Encoding("byte-level", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+        self.content = [b""] * (max(ranks.values()) + 1)
+        for entry, i in ranks.items():
+            self.content[i] = entry
 
-    def encode(self, segments: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast([" " + s for s in segments], add_special_tokens=False)]
+    def encode(self, segment: str) -> list[int]:
+        return self.encoding.encode_ordinary(" " + segment)
 
 
-class PieceTokens(Vocabulary):
+class PieceTokens:
     """Piece BPE with byte fallback; the model adds the leading space itself."""
 
     def __init__(self, file: bytes):
         self.model = sentencepiece.SentencePieceProcessor(model_proto=file)
-        content = []
+        self.content = []
         for i in range(self.model.get_piece_size()):
             piece = self.model.id_to_piece(i)
-            content.append(bytes([int(piece[3:5], 16)]) if self.model.is_byte(i) else piece.replace("▁", " ").encode("utf-8"))
-        super().__init__(content)
+            spelled = bytes([int(piece[3:5], 16)]) if self.model.is_byte(i) else piece.replace("▁", " ").encode("utf-8")
+            self.content.append(spelled)
 
-    def encode(self, segments: list[str]) -> list[list[int]]:
-        return self.model.encode(segments, num_threads=1)
+    def encode(self, segment: str) -> list[int]:
+        return self.model.encode(segment)
 
 
 @functools.lru_cache(maxsize=1)
@@ -115,16 +117,11 @@ def segments(text: str) -> list[str]:
     return [*found, text[start:]]
 
 
-def tokenised(texts: list[str], vocabulary: Vocabulary) -> list[np.ndarray]:
-    """Ids of each text; none where their bytes are not those of a space and the text."""
-    parts = [segments(t) if t else [] for t in texts]
-    ids = iter(vocabulary.encode([s for p in parts for s in p]))
-    out = []
-    for text, part in zip(texts, parts, strict=True):
-        own = [i for _ in part for i in next(ids)]
-        same = b"".join(map(vocabulary.content.__getitem__, own)) == b" " + text.encode("utf-8")
-        out.append(np.array(own if same else [], np.int64))
-    return out
+def tokenised(text: str, vocabulary: ByteTokens | PieceTokens) -> np.ndarray:
+    """Ids of a text; none where their bytes are not those of a space and the text."""
+    ids = [i for s in segments(text) for i in vocabulary.encode(s)] if text else []
+    same = b"".join(map(vocabulary.content.__getitem__, ids)) == b" " + text.encode("utf-8")
+    return np.array(ids if same else [], np.int32)
 
 
 def packed(*arrays: np.ndarray) -> bytes:
@@ -143,21 +140,39 @@ def unpacked(data: bytes) -> list[np.ndarray]:
     return out
 
 
-def group_digests(ids: list[np.ndarray], ends: list[np.ndarray], names: list[list[str]], sizes: np.ndarray) -> tuple[list[str], np.ndarray]:
-    """Digest of the groups of each text, and their number. ``ends``: in bytes, over the texts one after the other."""
-    common = np.intersect1d(ends[0], ends[1], assume_unique=True)
-    cuts = [(np.searchsorted(e, common) + 1).tolist() for e in ends]
-    words = [list(map(n.__getitem__, i.tolist())) for n, i in zip(names, ids, strict=True)]
+def group_digests(ids: list[np.ndarray], ends: list[np.ndarray], sizes: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """Digest of the groups of each text, and their number. ``ends``: in bytes, over the texts one after the other.
+
+    Every token is written with the mark that follows it, A's and B's tokens of a group one after the other.
+    """
+    both = np.sort(np.concatenate(ends), kind="stable")  # two sorted runs
+    common = both[1:][np.diff(both) == 0]
+    cuts = [np.searchsorted(e, common) + 1 for e in ends]
+    n = [len(i) for i in ids]
+    # Place of each token in the text of groups: after the tokens of both sides in the groups before, B's after A's.
+    groups = [np.searchsorted(c, np.arange(m), side="right") for c, m in zip(cuts, n, strict=True)]
+    starts = [np.concatenate([[0], c]) for c in cuts]
+    places = [np.arange(n[0]) + starts[1][groups[0]], np.arange(n[1]) + starts[0][groups[1] + 1]]
+    tokens, marks = np.zeros(sum(n), np.int64), np.full(sum(n), ord(","), np.uint8)
+    for i, at, c, mark in zip(ids, places, cuts, "|;", strict=True):
+        tokens[at] = i
+        marks[at[c - 1]] = ord(mark)
+    # Decimal digits as a table of bytes, unused places dropped.
+    digits = np.zeros((len(tokens), WIDTH + 1), np.uint8)
+    rest = tokens.copy()
+    for k in range(WIDTH - 1, -1, -1):
+        digits[:, k] = np.where((rest > 0) | (k == WIDTH - 1), rest % 10 + ord("0"), 0)
+        rest //= 10
+    digits[:, WIDTH] = marks
+    used = digits != 0
+    written = digits[used].tobytes()
     of_text = np.searchsorted(common, np.cumsum(sizes), side="right")
-    digests, at, a, b = [], 0, 0, 0
-    for last in of_text.tolist():
-        groups = []
-        for k in range(at, last):
-            p, q = cuts[0][k], cuts[1][k]
-            groups.append(f"{','.join(words[0][a:p])}|{','.join(words[1][b:q])}")
-            a, b = p, q
-        digests.append(hashlib.sha256(";".join(groups).encode()).hexdigest() if groups else "")
-        at = last
+    token_ends = (starts[0] + starts[1])[of_text]  # tokens of both sides up to the end of each text
+    byte_ends = np.concatenate([[0], np.cumsum(used.sum(axis=1))])[token_ends].tolist()
+    digests = [
+        hashlib.sha256(memoryview(written)[a : b - 1]).hexdigest() if b > a else ""
+        for a, b in zip([0, *byte_ends], byte_ends, strict=False)
+    ]
     return digests, np.diff(of_text, prepend=0)
 
 
@@ -168,16 +183,17 @@ def aligned_chunk(chunk: int, rows: list[tuple[str, str, int]], vocabulary: tupl
     ``entries`` the pairs of each text by rank with their numbers, ``texts`` the measures that need no counts, ``names`` the digests of the texts and of their groups.
     """
     digests, texts, copies = (list(c) for c in zip(*rows, strict=True))
-    both = [tokenised(texts, v) for v in vocabulary]
+    both = [[tokenised(t, v) for t in texts] for v in vocabulary]
     whole = [len(a) > 0 and len(b) > 0 for a, b in zip(*both, strict=True)]
     sizes = np.array([len(t.encode("utf-8")) + 1 if w else 0 for t, w in zip(texts, whole, strict=True)], np.int64)
-    none = np.zeros(0, np.int64)
+    none = np.zeros(0, np.int32)
     each = [[x if w else none for x, w in zip(ids, whole, strict=True)] for ids in both]
-    ids = [np.concatenate(x) for x in each]
-    ends = [np.cumsum(v.lengths[i]) for v, i in zip(vocabulary, ids, strict=True)]
-    shas, n_groups = group_digests(ids, ends, [v.names for v in vocabulary], sizes)
+    ids = [np.concatenate(x).astype(np.int64) for x in each]
+    ends = [np.cumsum(np.array([len(b) for b in v.content])[i]) for v, i in zip(vocabulary, ids, strict=True)]
+    shas, n_groups = group_digests(ids, ends, sizes)
 
-    cuts = np.union1d(*ends)
+    cuts = np.sort(np.concatenate(ends), kind="stable")  # two sorted runs
+    cuts = cuts[np.diff(cuts, prepend=0) > 0]
     link = ids[0][np.searchsorted(ends[0], cuts)] << 16 | ids[1][np.searchsorted(ends[1], cuts)]
     text = np.searchsorted(np.cumsum(sizes), cuts)
     pairs, rank = np.unique(link, return_inverse=True)
