@@ -16,6 +16,7 @@ from tidemark.llm.mixing import mix_sources
 from tidemark.llm.quality import JUDGE_SQL, judge_quality
 from tidemark.llm.secrets import find_secrets
 from tidemark.llm.simhash import near_duplicates
+from tidemark.llm.spelling import group_variants, variants_sql
 from tidemark.llm.suffix_dedup import remove_earlier_strings
 from tidemark.llm.syncmers import edits_sql, fingerprint_edits
 from tidemark.llm.tokenizer_alignment import align_tokens
@@ -106,3 +107,8 @@ def syncmer_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 @query("op12_token_alignment")
 def token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return align_tokens(table(spark, folder, "documents"))
+
+
+@query("op13_spelling_variants", variants_sql())
+def spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return group_variants(table(spark, folder, "documents"))
