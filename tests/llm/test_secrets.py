@@ -5,11 +5,14 @@ import hashlib
 import lzma
 import random
 import re
+import time
 import urllib.parse
 import zlib
 
 import zstandard
 
+from pyspark.sql import functions as F
+
 from tests.llm.rows import EDGE, documents, edge, empty
 from tidemark.llm.secrets import find_secrets, redact_secrets, scan
 
@@ -128,3 +131,35 @@ def test_redaction_keeps_rows_and_columns(spark):
     out = redact_secrets(docs)
     assert out.columns == docs.columns
     assert {(r.doc_id, r.text) for r in out.collect()} == {(1, "one [SECRET] two"), (2, None)}
+
+
+def seconds(text):
+    best = 1e9
+    for _ in range(3):
+        start = time.process_time()
+        scan(text)
+        best = min(best, time.process_time() - start)
+    return best
+
+
+def test_time_is_linear_in_streams_and_finds():
+    random.seed(4)
+    packed = [gzip.compress(random.randbytes(40).hex().encode()) for _ in range(800)]
+    streams = [base64.b64encode(b"".join(packed[:n])).decode() for n in (400, 800)]
+    words = [" ".join(random.choice([random.randbytes(12).hex(), base64.b64encode(random.randbytes(15)).decode()]) for _ in range(n)) for n in (3000, 6000)]
+    for small, large in (streams, words):
+        assert seconds(large) <= 2.7 * seconds(small) + 0.05
+    assert len(scan(streams[1])[1]) >= 1
+
+
+def test_streams_behind_a_broken_one_are_read():
+    key = gzip.compress(KEY.encode())
+    broken = bytes([*gzip.compress(b"x" * 500)[:20]])
+    text = base64.b64encode(b"..." + broken + key + b"tail").decode()
+    assert any(s.startswith("assign") for s in spans(text))
+
+
+def test_redaction_keeps_odd_schemas(spark):
+    odd = spark.createDataFrame([(1, KEY)], "doc_id long, text string").withColumn("s", F.struct(F.lit(1).alias("a b"), F.lit("x").alias("c`d")))
+    assert redact_secrets(odd).schema == odd.schema
+    assert redact_secrets(odd).first().text == "[SECRET]"

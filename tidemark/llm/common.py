@@ -48,9 +48,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def map_columns(df: DataFrame, function: Callable[..., dict], schema: str, *extra) -> DataFrame:
+def map_columns(df: DataFrame, function: Callable[..., dict], schema: str | T.StructType, *extra) -> DataFrame:
     """Apply ``function`` to the columns of each Arrow batch, given as Python lists; it returns lists by column name."""
-    struct = T.StructType.fromDDL(schema)
+    struct = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     arrow = to_arrow_schema(struct)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -15,8 +15,9 @@ import hashlib
 import lzma
 import re
 import zlib
-from collections.abc import Iterator
-from itertools import chain
+from bisect import bisect_right
+from collections.abc import Iterable, Iterator
+from itertools import accumulate, chain
 
 import zstandard
 from pyspark.sql import DataFrame
@@ -157,17 +158,19 @@ def opened(data: memoryview) -> zlib._Decompress | bz2.BZ2Decompressor | lzma.LZ
     return None
 
 
-def members(data: memoryview, limit: int, whole: list[bool]) -> Iterator[bytes]:
+def members(data: memoryview, limit: int, whole: list[bool], read: list[int]) -> Iterator[bytes]:
     """What a compressed stream and those right behind it unpack to, up to the first error, in parts of at most ``limit``.
 
-    ``whole`` gets an entry if no byte was left over.
+    ``whole`` gets an entry if no byte was left over, ``read`` the number of bytes up to the end of each complete stream.
     """
+    size = len(data)
     try:
         if bytes(data[:4]) == b"\x28\xb5\x2f\xfd":
             with zstandard.ZstdDecompressor(max_window_size=1 << 31).stream_reader(data, read_across_frames=True) as reader:
                 while part := reader.read(min(limit, STEP)):
                     yield part
             whole.append(True)
+            read.append(size)
             return
         while (stream := opened(data)) is not None:
             given = data
@@ -182,6 +185,7 @@ def members(data: memoryview, limit: int, whole: list[bool]) -> Iterator[bytes]:
                 whole.append(True)
                 return
             data = data[len(data) - len(stream.unused_data) :]
+            read.append(size - len(data))
             while len(data) and data[0] == 0:  # padding between members
                 data = data[1:]
             if not len(data):
@@ -191,10 +195,10 @@ def members(data: memoryview, limit: int, whole: list[bool]) -> Iterator[bytes]:
         return
 
 
-def unpacked(data: memoryview, limit: int, whole: list[bool]) -> Iterator[bytes]:
+def unpacked(data: memoryview, limit: int, whole: list[bool], read: list[int]) -> Iterator[bytes]:
     """The content of compressed streams in blocks that overlap; nothing if the bytes are none."""
     held, size, before = [], 0, 0
-    for part in members(data, limit, whole):
+    for part in members(data, limit, whole, read):
         held.append(part)
         size += len(part)
         if size >= limit:
@@ -211,16 +215,23 @@ def unpacked_all(data: bytes, limit: int, whole: list[bool]) -> Iterator[bytes]:
 
     ``whole`` gets an entry if the bytes are streams from the first to the last.
     """
-    work = [memoryview(data)[m.start() :] for m in STREAM.finditer(data)]
     seen = {data}
-    while work:
-        part = work.pop()
-        for block in unpacked(part, limit, whole if part.obj is data and len(part) == len(data) else []):
-            if block not in seen:
-                yield block
-                if STREAM.match(block):
-                    seen.add(block)
-                    work.append(memoryview(block))
+    done = 0  # marks before this place lie in streams that were read to their end
+    for mark in STREAM.finditer(data):
+        if mark.start() < done:
+            continue
+        read: list[int] = []
+        work = [memoryview(data)[mark.start() :]]
+        while work:
+            part = work.pop()
+            first = part.obj is data
+            for block in unpacked(part, limit, whole if first and mark.start() == 0 else [], read if first else []):
+                if block not in seen:
+                    yield block
+                    if STREAM.match(block):
+                        seen.add(block)
+                        work.append(memoryview(block))
+        done = mark.start() + max(read, default=0)
 
 
 def as_text(data: bytes) -> str:
@@ -282,6 +293,19 @@ def digest(text: str) -> bytes:
     return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
 
 
+def reaches(spans: Iterable[tuple[int, int]]) -> tuple[list[int], list[int]]:
+    """Starts in order, and the furthest end of the spans up to each."""
+    spans = sorted(spans)
+    return [start for start, _ in spans], list(accumulate((end for _, end in spans), max))
+
+
+def covered(span: Span, reach: dict[str, tuple[list[int], list[int]]]) -> bool:
+    """Whether a span lies within another one of its kind."""
+    starts, ends = reach[span[0]]
+    before = bisect_right(starts, span[1])
+    return before > 0 and ends[before - 1] >= span[2]
+
+
 def scan(text: str, limit: int = MAX_LAYER_BYTES) -> tuple[list[Span], list[Span]]:
     """Base finds of a text, and all finds including those in decoded layers, both in the order of their places."""
     order = {kind: i for i, kind in enumerate(KINDS)}
@@ -310,8 +334,8 @@ def scan(text: str, limit: int = MAX_LAYER_BYTES) -> tuple[list[Span], list[Span
             seen.add(key)
             (loose if layer.loose else found).update((kind, *layer.span(start, end)) for kind, start, end in finds(layer.text))
             work.append(inside(layer))
-    covered = lambda x: any(k == x[0] and start <= x[1] and x[2] <= end for k, start, end in found)
-    return base, placed(found | {x for x in loose if not covered(x)})
+    reach = {kind: reaches(s[1:] for s in found if s[0] == kind) for kind in KINDS}
+    return base, placed(found | {x for x in loose if not covered(x, reach)})
 
 
 def joined(spans: list[Span]) -> str:
@@ -361,5 +385,4 @@ def redact_columns(columns: dict, text_column: str, limit: int) -> dict:
 
 def redact_secrets(docs: DataFrame, text_column: str = "text", max_layer_bytes: int = MAX_LAYER_BYTES) -> DataFrame:
     """The same rows and columns, with every secret, decoded ones included, replaced by ``[SECRET]``."""
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return map_columns(docs, redact_columns, schema, text_column, max_layer_bytes)
+    return map_columns(docs, redact_columns, docs.schema, text_column, max_layer_bytes)
