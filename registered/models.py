@@ -11,7 +11,7 @@ from registered.sql import with_base
 from registered.storage import split_panel
 from tidemark.columns import LABEL, PROBABILITY, SPLITS
 from tidemark.functions import scores
-from tidemark.operators import evaluate, model, split
+from tidemark.operators import attribution, evaluate, model, split
 from tidemark.operators.quantile import exact_quantile
 from tidemark.session import scratch_path
 from tidemark.sources import sample_data as data
@@ -240,6 +240,33 @@ def feature_importance(spark, folder):
     return dealt.join(model.tree_importance(fitted, names), "feature")
 
 
+@query(
+    "m8_row_attributions",
+    with_base(
+        """SELECT customer_unique_id, snapshot_date, TRUE AS adds_up FROM split
+           WHERE split = 'val'""",
+        sql.PANEL, sql.SPLIT,
+    ),
+)
+def row_attributions(spark, folder):
+    """Shapley attributions of every validation row: with the base value they add up to the raw score."""
+    train, val, _ = stored_split(spark, folder)
+    names = split.feature_names(train)
+    fitted = model.base_model(train, names, SMALL | {"maxIter": 20})
+    keys = ["customer_unique_id", "snapshot_date"]
+    rows = attribution.attributions(fitted, val, names, keys)
+    total = sum((F.col(n) for n in names), F.col("base_value"))
+    return rows.select(*keys, (F.abs(total - F.col("raw_score")) < 1e-9).alias("adds_up"))
+
+
+@query("m8_mean_attributions")
+def mean_attributions(spark, folder):
+    train, val, _ = stored_split(spark, folder)
+    names = split.feature_names(train)
+    fitted = model.base_model(train, names, SMALL | {"maxIter": 20})
+    return attribution.mean_attributions(attribution.attributions(fitted, val, names, ["customer_unique_id"]), names)
+
+
 @query("m9_batch_scores")
 def batch_scores(spark, folder):
     fitted, _, _, _ = _calibrated(spark, folder)
