@@ -200,6 +200,15 @@ def parameter_search(spark, folder):
     return spark.createDataFrame(rows, "trial int, rounds int, depth int, learning_rate double, val_log_loss double")
 
 
+@query("m4_pruned_search")
+def pruned_search(spark, folder):
+    """Six draws on two rungs: two of them are fitted with all their rounds."""
+    train, val, _ = stored_split(spark, folder)
+    draws = model.sampled_parameters(6, SMALL_SPACE | {"maxIter": (3, 9, 3)})
+    _, fits = model.pruned_search(train, val, split.feature_names(train), draws, rungs=2, threads=2)
+    return spark.createDataFrame(fits, "trial int, rung int, rounds int, val_log_loss double")
+
+
 @query("m5_boosted_trees")
 def boosted_trees(spark, folder):
     train, val, _ = stored_split(spark, folder)

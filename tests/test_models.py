@@ -147,3 +147,17 @@ def test_model_contract_matches_the_matrix(parts):
     expected = contract.blueprint_features(contract.feature_blueprint(features))
     checks = contract.check_contract(expected, parts["test"])
     assert contract.contract_result(checks).first()["is_valid"]
+
+
+def test_pruned_search_stops_a_bad_draw_and_keeps_full_losses(parts):
+    good = SMALL | {"maxIter": 6}
+    draws = [good, SMALL | {"maxIter": 6, "stepSize": 0.01, "maxDepth": 1}, good | {"maxDepth": 2}, good | {"subsamplingRate": 0.6}]
+    names = split.feature_names(parts["train"])
+    best, fits = model.pruned_search(parts["train"], parts["val"], names, draws, cut=2, rungs=3, threads=2)
+    _, full = model.search(parts["train"], parts["val"], names, draws, threads=2)
+    assert {i for i, rung, _, _ in fits if rung == 0} == {0, 1, 2, 3}
+    assert 1 not in {i for i, rung, _, _ in fits if rung > 0}
+    last = [f for f in fits if f[1] == 2]
+    assert last and all(loss == full[i][1] and rounds == 6 for i, _, rounds, loss in last)
+    assert best == draws[min(last, key=lambda f: f[3])[0]]
+    assert sum(f[2] for f in fits) < sum(d["maxIter"] for d in draws)
