@@ -274,6 +274,13 @@ def panel_by_cells(spark, folder):
     return panel(spark, folder, "cells")
 
 
+@query("a2_strict_panel", with_base("SELECT * FROM panel", sql.STRICT_PANEL))
+def strict_panel(spark, folder):
+    """Features from what each snapshot could know of deliveries, all snapshots in one scan of each table."""
+    tables = data.order_tables(spark, folder)
+    return pan.build_panel(tables, data.SNAPSHOTS, data.TARGET_DAYS, "cells", stamp=False, strict_as_of=True)
+
+
 @query("u1_panel_cells_unique_ids", PANEL_SQL)
 def panel_by_cells_unique(spark, folder):
     """The cheaper plan for ids known to be unique, which they are in these tables (``d8_duplicated_keys``)."""

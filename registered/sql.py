@@ -62,6 +62,11 @@ SPLIT = """split AS (
   SELECT *, CASE WHEN snapshot_date IN ('1998-01-01', '1998-03-01') THEN 'train'
                  WHEN snapshot_date = '1998-05-01' THEN 'val' ELSE 'test' END AS split
   FROM panel)"""
+# The panel without deliveries that a snapshot cannot know yet.
+_KNOWN = "CASE WHEN act_delivery_ts < TIMESTAMP '{at} 00:00:00' THEN act_delivery_ts END"
+STRICT_PANEL = "panel AS (" + " UNION ALL ".join(
+    panel_part(s).replace("act_delivery_ts", _KNOWN.format(at=s)) for s in SNAPSHOTS
+) + ")"
 MATRIX = f"matrix AS ({features('1998-07-01')})"
 
 # A score any engine computes alike.

@@ -309,3 +309,13 @@ def test_strict_panel_has_strict_features(spark):
     for s in SNAPSHOTS:
         part = panel.filter(F.col("snapshot_date") == s.label).select(*FEATURE_COLUMNS)
         assert rows_of(part) == rows_of(point_in_time_features(t, s, strict_as_of=True))
+
+
+@pytest.mark.parametrize("seed", [None, 1, 2, 3])
+def test_strict_cells_equal_strict_union(spark, seed):
+    rows = awkward_rows() if seed is None else random_rows(seed)
+    t = tables(spark, *rows)
+    parts = [rows_of(build_panel(t, SNAPSHOTS, stamp=False, plan=p, strict_as_of=True)) for p in ("cells", "union")]
+    assert parts[0] == parts[1] and parts[0]
+    with pytest.raises(ValueError, match="strict_as_of"):
+        build_panel(t, SNAPSHOTS, plan="fan_out", strict_as_of=True)

@@ -28,6 +28,7 @@ def test_snapshot_filter_reaches_the_scan(spark, folder, tmp_path):
 def test_cells_plan_reads_each_table_once(spark, folder, tmp_path):
     tables = stored(spark, folder, tmp_path)
     assert scans(plan_of(build_panel(tables, sample_data.SNAPSHOTS, plan="cells"))) == 3
+    assert scans(plan_of(build_panel(tables, sample_data.SNAPSHOTS, plan="cells", strict_as_of=True))) == 3
     assert scans(plan_of(build_panel(tables, sample_data.SNAPSHOTS, plan="fan_out"))) == 3
     assert scans(plan_of(build_panel(tables, sample_data.SNAPSHOTS, plan="union"))) == 24
 

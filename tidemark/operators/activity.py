@@ -97,6 +97,7 @@ def activity(tables: OrderTables, orders: DataFrame | None = None) -> DataFrame:
         PERSON,
         "order_id",
         "purchase_ts",
+        "act_delivery_ts",
         STATE,
         F.col("purchase_ts").alias("first_ts"),
         F.col("purchase_ts").alias("last_ts"),

@@ -110,7 +110,9 @@ def cell_of(moment: Column, cuts: Sequence[datetime]) -> Column:
     return between(0, len(cuts))
 
 
-def cells_panel(tables: OrderTables, snapshots: Sequence[Snapshot], days: int) -> DataFrame:
+def cells_panel(tables: OrderTables, snapshots: Sequence[Snapshot], days: int, strict_as_of: bool = False) -> DataFrame:
+    """The ``cells`` plan. With ``strict_as_of`` cells have two sides, the cell of the purchase and that of the delivery, from
+    which on the delivery is known; a snapshot takes the delivery measures only of cells whose delivery lies before it."""
     snapshots = sorted(snapshots, key=lambda s: s.at)
     cuts = cut_points(snapshots, days)
     starts = [cuts.index(s.at) for s in snapshots]
@@ -118,13 +120,25 @@ def cells_panel(tables: OrderTables, snapshots: Sequence[Snapshot], days: int) -
 
     rows = activity(tables, orders_before(tables.orders, cuts[-1]))
     rows = rows.withColumn("cell", cell_of(F.col("purchase_ts"), cuts))
-    by_cell = summary(rows, [PERSON, "cell"], MEASURES, tables.unique_orders)
+    keys = [PERSON, "cell"]
+    if strict_as_of:
+        never = F.lit(len(cuts) + 1)
+        delivered = F.col("act_delivery_ts")
+        rows = rows.withColumn("told", F.when(delivered.isNull(), never).otherwise(cell_of(delivered, cuts)))
+        keys.append("told")
+    by_cell = summary(rows, keys, MEASURES, tables.unique_orders)
     # A cell matters to the snapshots from the first whose window reaches it. The few cells of a person are brought
     # together before they are repeated per snapshot, so what is shuffled does not grow with the snapshots.
     first = _literals([min(n for n, end in enumerate(ends) if cell <= end) for cell in range(len(cuts))])
     number = F.explode(F.sequence(first[F.col("cell")], F.lit(len(snapshots) - 1)))
     spread = by_cell.repartition(PERSON).withColumn("snapshot", number)
-    past = F.col("cell") <= _literals(starts)[F.col("snapshot")]
+    start = _literals(starts)[F.col("snapshot")]
+    past = F.col("cell") <= start
+    if strict_as_of:
+        known = F.col("told") <= start
+        spread = spread.withColumns(
+            {"worst_delay": F.when(known, F.col("worst_delay")), "undelivered": F.when(known, 0).otherwise(1)}
+        )
     people = spread.groupBy(PERSON, "snapshot").agg(
         F.max(F.when(past, F.col(STATE))).alias(STATE),
         *merged(PAST_MEASURES, past),
@@ -148,12 +162,12 @@ def build_panel(
     """One row per snapshot and person who ordered before it.
 
     ``strict_as_of`` hides deliveries after each snapshot. What an order adds then differs from snapshot to snapshot, which
-    only the ``union`` plan can follow.
+    the ``union`` plan follows with a query per snapshot and the ``cells`` plan with one scan.
     """
-    if strict_as_of and plan != "union":
-        raise ValueError("strict_as_of needs plan='union'")
+    if strict_as_of and plan == "fan_out":
+        raise ValueError("strict_as_of needs plan='cells' or plan='union'")
     if strict_as_of:
-        panel = union_panel(tables, snapshots, days, strict_as_of=True)
+        panel = PLANS[plan](tables, snapshots, days, strict_as_of=True)
     else:
         panel = PLANS[plan](tables, snapshots, days)
     return stamped(panel) if stamp else panel
