@@ -274,6 +274,26 @@ def panel_by_cells(spark, folder):
     return panel(spark, folder, "cells")
 
 
+@query("u1_panel_running", PANEL_SQL)
+def panel_by_running(spark, folder):
+    return panel(spark, folder, "running")
+
+
+@query("u1_daily_panel", with_base(sql.DAILY_PROFILE))
+def daily_panel(spark, folder):
+    """A snapshot for each day of a year: rows, people who left, recency and money of the panel by day."""
+    tables = data.order_tables(spark, folder)
+    rows = pan.build_panel(tables, data.DAILY_SNAPSHOTS, data.TARGET_DAYS, "running", stamp=False)
+    return rows.groupBy("snapshot_date").agg(
+        F.count(F.lit(1)).alias("people"),
+        F.sum("target_is_churn").alias("churned"),
+        F.sum("recency_days").alias("recency_days"),
+        F.sum("frequency").alias("orders"),
+        F.sum(F.col("monetary_total").cast("decimal(18,2)")).cast("double").alias("money"),
+        F.sum(F.col("target_180d_ltv").cast("decimal(18,2)")).cast("double").alias("future_money"),
+    )
+
+
 @query("a2_strict_panel", with_base("SELECT * FROM panel", sql.STRICT_PANEL))
 def strict_panel(spark, folder):
     """Features from what each snapshot could know of deliveries, all snapshots in one scan of each table."""

@@ -67,6 +67,25 @@ _KNOWN = "CASE WHEN act_delivery_ts < TIMESTAMP '{at} 00:00:00' THEN act_deliver
 STRICT_PANEL = "panel AS (" + " UNION ALL ".join(
     panel_part(s).replace("act_delivery_ts", _KNOWN.format(at=s)) for s in SNAPSHOTS
 ) + ")"
+# The panel of each day of a year, by day.
+DAILY_PROFILE = """
+, days AS (SELECT CAST(d AS TIMESTAMP) AS moment FROM range(DATE '1997-07-01', DATE '1998-07-01', INTERVAL 1 DAY) r(d)),
+per_order AS (
+  SELECT customer_unique_id, order_id, purchase_ts, order_status, order_payment_value
+  FROM o JOIN c USING (customer_id) LEFT JOIN opay USING (order_id)),
+history AS (
+  SELECT customer_unique_id, moment, DATE_DIFF('day', MAX(purchase_ts), moment) AS recency_days, COUNT(DISTINCT order_id) AS orders,
+         SUM(COALESCE(order_payment_value, 0)) AS money
+  FROM per_order JOIN days ON purchase_ts < moment GROUP BY customer_unique_id, moment),
+future AS (
+  SELECT customer_unique_id, moment, SUM(order_payment_value) AS future_money
+  FROM per_order JOIN days ON purchase_ts >= moment AND purchase_ts < moment + INTERVAL 180 DAY
+  WHERE order_status IN ('delivered', 'shipped') GROUP BY customer_unique_id, moment)
+SELECT STRFTIME(moment, '%Y-%m-%d') AS snapshot_date, COUNT(*) AS people,
+       COUNT(*) FILTER (WHERE f.moment IS NULL) AS churned, CAST(SUM(recency_days) AS BIGINT) AS recency_days,
+       CAST(SUM(orders) AS BIGINT) AS orders, CAST(SUM(money) AS DOUBLE) AS money,
+       CAST(SUM(COALESCE(future_money, 0)) AS DOUBLE) AS future_money
+FROM history h LEFT JOIN future f USING (customer_unique_id, moment) GROUP BY moment"""
 MATRIX = f"matrix AS ({features('1998-07-01')})"
 
 # A score any engine computes alike.

@@ -315,7 +315,33 @@ def test_strict_panel_has_strict_features(spark):
 def test_strict_cells_equal_strict_union(spark, seed):
     rows = awkward_rows() if seed is None else random_rows(seed)
     t = tables(spark, *rows)
-    parts = [rows_of(build_panel(t, SNAPSHOTS, stamp=False, plan=p, strict_as_of=True)) for p in ("cells", "union")]
-    assert parts[0] == parts[1] and parts[0]
+    parts = [rows_of(build_panel(t, SNAPSHOTS, stamp=False, plan=p, strict_as_of=True)) for p in ("cells", "running", "union")]
+    assert parts[0] == parts[1] == parts[2] and parts[0]
     with pytest.raises(ValueError, match="strict_as_of"):
         build_panel(t, SNAPSHOTS, plan="fan_out", strict_as_of=True)
+
+
+@pytest.mark.parametrize("seed", [None, 4])
+@pytest.mark.parametrize("step, days", [(1, 7), (5, 180), (11, 3)])
+@pytest.mark.parametrize("strict", [False, True])
+def test_running_panel_over_many_snapshots(spark, seed, step, days, strict):
+    """Windows longer and shorter than the step, snapshots before the first and after the last order."""
+    t = tables(spark, *(awkward_rows() if seed is None else random_rows(seed)))
+    many = [snapshot(dt.date(2017, 6, 1) + dt.timedelta(days=step * i)) for i in range(70)]
+    parts = [
+        rows_of(build_panel(t, many[::-1], days, stamp=False, plan=p, strict_as_of=strict)) for p in ("cells", "running")
+    ]
+    assert parts[0] == parts[1] and parts[0]
+
+
+def test_running_panel_within_a_day_and_repeated_snapshots(spark):
+    t = tables(spark, *random_rows(5))
+    times = [snapshot(f"2017-10-0{d} {h:02}:30:00") for d in range(1, 8) for h in (0, 7, 19)]
+    times += [times[3]._replace(label="again")]
+    parts = [rows_of(build_panel(t, times, 20, stamp=False, plan=p)) for p in ("cells", "running")]
+    assert parts[0] == parts[1] and parts[0]
+
+
+def test_running_panel_without_orders(spark):
+    t = tables(spark, [], [], [])
+    assert build_panel(t, SNAPSHOTS, stamp=False, plan="running").count() == 0

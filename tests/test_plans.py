@@ -1,7 +1,9 @@
 """Physical plans: what is read, what is joined how, and that nothing is multiplied out."""
 
 import re
+from datetime import date, timedelta
 
+from tidemark.functions.times import snapshot
 from tidemark.operators.features import point_in_time_features
 from tidemark.plans.panel import build_panel
 from tidemark.sources import sample_data, sinks
@@ -29,13 +31,14 @@ def test_cells_plan_reads_each_table_once(spark, folder, tmp_path):
     tables = stored(spark, folder, tmp_path)
     assert scans(plan_of(build_panel(tables, sample_data.SNAPSHOTS, plan="cells"))) == 3
     assert scans(plan_of(build_panel(tables, sample_data.SNAPSHOTS, plan="cells", strict_as_of=True))) == 3
+    assert scans(plan_of(build_panel(tables, sample_data.SNAPSHOTS, plan="running"))) == 3
     assert scans(plan_of(build_panel(tables, sample_data.SNAPSHOTS, plan="fan_out"))) == 3
     assert scans(plan_of(build_panel(tables, sample_data.SNAPSHOTS, plan="union"))) == 24
 
 
 def test_no_plan_multiplies_rows_out(spark, folder, tmp_path):
     tables = stored(spark, folder, tmp_path)
-    for name in ("cells", "fan_out", "union"):
+    for name in ("cells", "running", "fan_out", "union"):
         plan = plan_of(build_panel(tables, sample_data.SNAPSHOTS, plan=name))
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
@@ -63,3 +66,15 @@ def test_rules_and_panel_stay_in_the_jvm(spark, folder):
         spark, {"t": tables.customers}, {"tables": {"t": {"columns": {"customer_id": {"unique": True}}}}}
     )):
         assert "Python" not in plan_of(df)
+
+
+def test_running_plan_moves_cells_once_and_sorts_once(spark, folder, tmp_path):
+    """No exchange stands above the one that brings a person's cells together, however many snapshots there are."""
+    tables = stored(spark, folder, tmp_path)
+    daily = [snapshot(date(1998, 1, 1) + timedelta(days=i)) for i in range(40)]
+    for strict in (False, True):
+        plan = plan_of(build_panel(tables, daily, plan="running", strict_as_of=strict, stamp=False)).split("Initial Plan")[-1]
+        above, below = plan.split("Exchange hashpartitioning(customer_unique_id", 1)
+        assert above.count("Generate") == 2 and above.count("Sort [") == 1 and "Exchange" not in above
+        cells = plan_of(build_panel(tables, daily, plan="cells", strict_as_of=strict, stamp=False)).split("Initial Plan")[-1]
+        assert plan.count("Exchange hashpartitioning") == cells.count("Exchange hashpartitioning")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from tidemark.functions.times import snapshot
 from tidemark.sources.tables import OrderTables, typed_customers, typed_orders, typed_payments
 
 SNAPSHOTS = [snapshot(s) for s in ("1998-01-01", "1998-03-01", "1998-05-01", "1998-07-01")]
+DAILY_SNAPSHOTS = [snapshot(date(1997, 7, 1) + timedelta(days=i)) for i in range(365)]
 TARGET_DAYS = 180
 TRAIN_SNAPSHOTS = ["1998-01-01", "1998-03-01"]
 VALIDATION_SNAPSHOT = "1998-05-01"
