@@ -14,9 +14,9 @@ from tidemark.operators import report
 from tidemark.columns import LABEL, REPORT_COLUMNS
 from tidemark.operators.split import feature_names, split_by_snapshot
 from tidemark.session import scratch_path
-from tidemark.sources import files, sinks
+from tidemark.sources import files, footers, sinks
 from tidemark.sources import sample_data as data
-from tidemark.streaming import daily
+from tidemark.streaming import daily, versions
 
 RUN_DAY = date(1998, 7, 1)
 CUSTOMER = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
@@ -180,6 +180,36 @@ def daily_write_twice(spark, folder):
     return files.scan_partitioned(spark, root)
 
 
+@query(
+    "s12_published_versions",
+    """WITH e AS (SELECT event_id, value, strftime(ts, '%Y-%m-%d') AS day FROM events),
+v AS (
+  SELECT 1 AS version, event_id, value, day FROM e
+  UNION ALL
+  SELECT 2, event_id, CASE WHEN day = '2024-01-10' THEN value * 2 ELSE value END, day FROM e WHERE day <> '2024-01-11')
+SELECT *, COUNT(*) OVER (PARTITION BY version, day) AS rows_of_day FROM v""",
+)
+def published_versions(spark, folder):
+    """Events and their daily counts are published together, then one day again with other values and one by nothing;
+    both versions are read."""
+    root = scratch_path(spark, "lake")
+    events = daily_events(spark, folder)
+    day = F.concat_ws("-", *files.DAY_COLUMNS)
+    again = events.filter(day == "2024-01-10").withColumn("value", F.col("value") * 2)
+
+    def both(rows):
+        return {"events": rows, "counts": rows.groupBy(*files.DAY_COLUMNS).agg(F.count(F.lit(1)).alias("rows_of_day"))}
+
+    versions.publish(both(events), root)
+    versions.publish(both(again), root, [date(2024, 1, 10), date(2024, 1, 11)])
+    parts = []
+    for version in (1, 2):
+        tables = versions.read_version(spark, root, version)
+        rows = tables["events"].join(tables["counts"], files.DAY_COLUMNS)
+        parts.append(rows.select(F.lit(version).alias("version"), "event_id", "value", day.alias("day"), "rows_of_day"))
+    return parts[0].unionByName(parts[1])
+
+
 @query("s13_completed_days", "SELECT event_id, value FROM events WHERE ts < TIMESTAMP '2024-01-21'")
 def completed_days(spark, folder):
     """All days are written but only the first twenty are marked; only marked days are read."""
@@ -241,10 +271,24 @@ def published_reports(spark, folder):
 
 @query("s17_stored_rows", "SELECT COUNT(*) AS total_rows, TRUE AS has_bytes FROM lineitem")
 def stored_rows(spark, folder):
-    size = files.stored_size(files.scan_table(spark, folder, "lineitem"))
+    size = footers.stored_size(spark, f"{folder}/lineitem.parquet")
     return size.select("total_rows", (F.col("total_bytes") > 0).alias("has_bytes"))
 
 
+@query(
+    "s17_column_ranges",
+    """WITH r AS (
+  SELECT COUNT(*) AS n_rows, COUNT(l_quantity) AS q, MIN(l_quantity) AS q0, MAX(l_quantity) AS q1, COUNT(l_orderkey) AS k,
+         MIN(l_orderkey) AS k0, MAX(l_orderkey) AS k1 FROM lineitem)
+SELECT 'l_orderkey' AS column_name, n_rows, k AS n_values, CAST(k0 AS DOUBLE) AS smallest, CAST(k1 AS DOUBLE) AS largest FROM r
+UNION ALL SELECT 'l_quantity', n_rows, q, q0, q1 FROM r""",
+)
+def column_ranges(spark, folder):
+    found = footers.column_ranges(spark, f"{folder}/lineitem.parquet", ["l_orderkey", "l_quantity"])
+    number = [F.col(c).cast("double").alias(c) for c in ("smallest", "largest")]
+    return found.select("column_name", "n_rows", "n_values", *number)
+
+
 # --- reports on a fixed score
 
 

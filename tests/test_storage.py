@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tests.orders import raw
 from tidemark.columns import REPORT_COLUMNS
 from tidemark.operators import report
-from tidemark.sources import files, sinks
+from tidemark.sources import files, footers, sinks
 from tidemark.streaming import daily
 
 DAYS = "order_id string, value int, year string, month string, day string"
@@ -110,7 +110,7 @@ def test_one_bad_table_does_not_stop_the_others(spark, tmp_path):
 def test_stored_size(spark, tmp_path):
     path = str(tmp_path / "t.parquet")
     spark.range(1000).repartition(3).write.parquet(path)
-    row = files.stored_size(spark.read.parquet(path)).first()
+    row = footers.stored_size(spark, path).first()
     on_disk = sum(f.stat().st_size for f in (tmp_path / "t.parquet").glob("*.parquet"))
     assert (row["total_rows"], row["total_bytes"]) == (1000, on_disk)
 

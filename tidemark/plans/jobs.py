@@ -17,7 +17,8 @@ from tidemark.operators.split import feature_names, features_of, one_split, spli
 from tidemark.plans.panel import build_panel, panel_profile
 from tidemark.session import apply_settings, size_shuffles
 from tidemark.sources import sinks
-from tidemark.sources.files import days_until, scan_table, stored_size
+from tidemark.sources.files import days_until, scan_table
+from tidemark.sources.footers import stored_size
 from tidemark.sources.tables import OrderTables, typed_customers, typed_orders, typed_payments, typed_tables
 
 
@@ -61,7 +62,7 @@ def panel_job(
         tables = sinks.write_typed(spark, tables, f"{folder}/typed")
     sinks.write_panel(build_panel(tables, snapshots, days), f"{folder}/panel")
     panel = sinks.read_panel(spark, f"{folder}/panel")
-    return {"panel": panel, "checks": checks, "profile": panel_profile(panel), "size": stored_size(panel)}
+    return {"panel": panel, "checks": checks, "profile": panel_profile(panel), "size": stored_size(spark, f"{folder}/panel")}
 
 
 @dataclass

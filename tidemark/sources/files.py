@@ -145,14 +145,3 @@ def convert_folder(
         except Exception as error:  # any failure of one table is its report row
             report.append((name, False, str(error).splitlines()[0]))
     return spark.createDataFrame(report, "table string, converted boolean, error string")
-
-
-def stored_size(df: DataFrame) -> DataFrame:
-    """Rows and bytes of a table read from files. Only file metadata is read, no column."""
-    files = df.groupBy(F.col("_metadata.file_path").alias("path")).agg(
-        F.count(F.lit(1)).alias("rows"), F.max("_metadata.file_size").alias("bytes")
-    )
-    return files.agg(
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("total_rows"),
-        F.coalesce(F.sum("bytes"), F.lit(0)).alias("total_bytes"),
-    )
