@@ -1,19 +1,21 @@
 """Benchmark decontamination: rare word triples lead from documents to test items, alignment decides.
 
 Triples of words that occur in any item are found in all documents, and counted there. The rarer half of an item's triples,
-and all that are rare outright, are its seeds. Where a seed stands in a document, the words around it are aligned with the
-item by Smith-Waterman, so that copies with changed, missing or added words are scored too.
+all that are rare outright, and the rarest of each run of LEAST_RUN words are its seeds, so no run of that length is without
+one. Where a seed stands in a document, the words around it are aligned with the item by Smith-Waterman, so that copies with
+changed, missing or added words are scored too. Parts of long items count by what they hold, not by their share of the item.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import map_columns, stored
@@ -24,6 +26,8 @@ RARE_DOCUMENTS = 10
 #: Alignment scores, and the share of the best possible score that makes a copy.
 MATCH, MISMATCH, GAP = 2, -1, -1
 LEAST_SIMILARITY = 0.5
+#: Of whatever item, a part makes a copy with this many words in a row, or with the score of this many matching words.
+LEAST_RUN, LEAST_MATCHED = 13, 50
 #: Alignments start within a step of where a seed says, give or take a share of the item's length.
 STEP, SLACK = 8, 0.25
 #: Bits of the filter that is sent to all tasks; its size is fixed. What it lets pass by chance, the exact join drops.
@@ -125,12 +129,11 @@ def region_columns(columns: dict) -> dict:
     return out
 
 
-def aligned(items: list[np.ndarray], stretches: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Best local alignment of each item with its stretch: score, first and last word in the stretch.
+def alignment_ends(items: list[np.ndarray], stretches: list[np.ndarray]) -> np.ndarray:
+    """For each pair and each word of its stretch, the best local alignment that ends there: the score in the upper 32 bits,
+    below it the distance of the start from the end of the table, so of equal scores the earlier start is larger.
 
-    All pairs advance together, one word of the items at a time. A cell holds its score above the distance of its start from
-    the end, so the larger of two cells is the better score, and of equal scores the earlier start. Gaps along the stretch
-    come from a running maximum.
+    All pairs advance together, one word of the items at a time. Gaps along the stretch come from a running maximum.
     """
     n, width, height = len(items), max(map(len, stretches)), max(map(len, items))
     long, short = np.full((n, width), -1, np.int64), np.full((n, height), -2, np.int64)
@@ -140,8 +143,7 @@ def aligned(items: list[np.ndarray], stretches: list[np.ndarray]) -> tuple[np.nd
     inside = np.arange(width) < np.array([len(s) for s in stretches])[:, None]
     here = np.arange(width, dtype=np.int64)
     unit, start = np.int64(1) << 32, width - here  # an alignment that starts at word j carries width - j
-    row, best = np.tile(start, (n, 1)), np.zeros(n, np.int64)
-    last = np.zeros(n, np.int64)
+    row, ends = np.tile(start, (n, 1)), np.zeros((n, width), np.int64)
     lengths = np.array([len(s) for s in items])
     for k in range(height):
         same = (long == short[:, k : k + 1]) & inside
@@ -152,33 +154,101 @@ def aligned(items: list[np.ndarray], stretches: list[np.ndarray]) -> tuple[np.nd
         cell = np.maximum(before + np.where(same, MATCH, MISMATCH) * unit, row + GAP * unit)
         cell = np.maximum.accumulate(cell - GAP * unit * here, axis=1) + GAP * unit * here
         row = np.where(cell >= unit, cell, start)
-        live = np.where(inside & (k < lengths)[:, None], row, 0)
-        at = live.argmax(axis=1)
-        top = live[np.arange(n), at]
-        better = top >> 32 > best >> 32
-        best, last = np.where(better, top, best), np.where(better, at, last)
+        np.maximum(ends, np.where(inside & (k < lengths)[:, None], row, 0), out=ends)
+    return ends
+
+
+def aligned(items: list[np.ndarray], stretches: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Best local alignment of each item with its stretch: score, first and last word in the stretch."""
+    ends = alignment_ends(items, stretches)
+    last = ends.argmax(axis=1)
+    best = ends[np.arange(len(items)), last]
     score = best >> 32
-    return score, np.where(score > 0, width - (best & (unit - 1)), 0), last
+    return score, np.where(score > 0, ends.shape[1] - (best & ((1 << 32) - 1)), 0), last
+
+
+def disjoint(ends: np.ndarray, least: int) -> list[tuple[int, int, int]]:
+    """Of the alignments of one pair that score at least ``least``: the best, the best of those beside it, and so on."""
+    at = np.flatnonzero(ends >> 32 >= least)
+    taken, out = np.zeros(len(ends), bool), []
+    for last in at[np.argsort(-ends[at], kind="stable")].tolist():
+        first = len(ends) - int(ends[last] & ((1 << 32) - 1))
+        if not (taken[first] or taken[last] or taken[first : last + 1].any()):
+            taken[first : last + 1] = True
+            out.append((int(ends[last] >> 32), first, last))
+    return out
+
+
+def longest_run(item: np.ndarray, words: np.ndarray) -> int:
+    """Most words in a row that both have."""
+    best, run = 0, np.zeros(len(words) + 1, np.int64)
+    for word in item:
+        run[1:] = np.where(words == word, run[:-1] + 1, 0)
+        best = max(best, int(run.max()))
+    return best
+
+
+def least_score(length: int, least_similarity: float) -> int:
+    """The lowest score from which an alignment with an item of so many words may be a copy."""
+    return max(1, min(MATCH * LEAST_RUN, MATCH * LEAST_MATCHED, math.ceil(least_similarity * MATCH * length)))
+
+
+def is_copy(item: np.ndarray, words: np.ndarray, score: int, least_similarity: float) -> bool:
+    """Whether an alignment of an item with these words of a document, of this score, is reported."""
+    if score >= least_similarity * MATCH * len(item) or score >= MATCH * LEAST_MATCHED:
+        return True
+    return longest_run(item, words) >= LEAST_RUN
+
+
+def together(widths: list[int]) -> Iterator[list[int]]:
+    """Numbers of pairs to align at once: of similar size, and few of them where they are long."""
+    group: list[int] = []
+    for i in sorted(range(len(widths)), key=widths.__getitem__):
+        if group and (len(group) >= TOGETHER or (len(group) + 1) * widths[i] > CELLS):
+            yield group
+            group = []
+        group.append(i)
+    if group:
+        yield group
+
+
+def all_alignments(items: list[np.ndarray], stretches: list[np.ndarray], least: list[int]) -> list[list[tuple[int, int, int]]]:
+    """For each pair all alignments with enough score, as (score, first, last), none over another.
+
+    What lies between alignments already taken is aligned again, until nothing scores enough there: an alignment may have
+    been hidden by a better one that reached into its words.
+    """
+    out: list[list[tuple[int, int, int]]] = [[] for _ in items]
+    work = [(i, 0, len(s)) for i, s in enumerate(stretches) if len(s) and len(items[i])]
+    while work:
+        again = []
+        for group in together([high - low for _, low, high in work]):
+            parts = [work[w] for w in group]
+            ends = alignment_ends([items[i] for i, _, _ in parts], [stretches[i][low:high] for i, low, high in parts])
+            for (i, low, high), row in zip(parts, ends, strict=True):
+                found = disjoint(row, least[i])
+                out[i] += [(score, low + first, low + last) for score, first, last in found]
+                edges = [low, *(e for _, first, last in sorted(found, key=lambda f: f[1]) for e in (low + first, low + last + 1)), high]
+                gaps = zip(edges[::2], edges[1::2], strict=True)
+                again += [(i, a, b) for a, b in gaps if found and (b - a) * MATCH >= least[i]]
+        work = again
+    return out
 
 
-def align_columns(columns: dict) -> dict:
+def align_columns(columns: dict, least_similarity: float) -> dict:
     out: dict[str, list] = {k: [] for k in ("id", "item", "score", "similarity", "start", "end")}
-    order = sorted(range(len(columns["id"])), key=lambda i: len(columns["words"][i]))
-    groups: list[list[int]] = []
-    for i in order:  # pairs of similar size together, and few of them where they are long
-        if not groups or len(groups[-1]) >= TOGETHER or (len(groups[-1]) + 1) * len(columns["words"][i]) > CELLS:
-            groups.append([])
-        groups[-1].append(i)
-    for group in groups:
-        items = [np.array(columns["item_words"][i], np.int64) for i in group]
-        score, first, last = aligned(items, [np.array(columns["words"][i], np.int64) for i in group])
-        for i, s, a, b, item in zip(group, score.tolist(), first.tolist(), last.tolist(), items, strict=True):
-            out["id"].append(columns["id"][i])
-            out["item"].append(columns["item"][i])
-            out["score"].append(s)
-            out["similarity"].append(s / (MATCH * len(item)))
-            out["start"].append(columns["starts"][i][a])
-            out["end"].append(columns["ends"][i][b])
+    items = [np.array(words, np.int64) for words in columns["item_words"]]
+    stretches = [np.array(words, np.int64) for words in columns["words"]]
+    found = all_alignments(items, stretches, [least_score(len(item), least_similarity) for item in items])
+    for i, alignments in enumerate(found):
+        for score, first, last in alignments:
+            if is_copy(items[i], stretches[i][first : last + 1], score, least_similarity):
+                out["id"].append(columns["id"][i])
+                out["item"].append(columns["item"][i])
+                out["score"].append(score)
+                out["similarity"].append(score / (MATCH * len(items[i])))
+                out["start"].append(columns["starts"][i][first])
+                out["end"].append(columns["ends"][i][last])
     return out
 
 
@@ -193,7 +263,9 @@ def find_leaks(
 ) -> DataFrame:
     """Copies of items in documents: id, item id, score, similarity, and start and end of the copy in code points.
 
-    One row per copy, so an item that stands twice in a document gives two rows; documents without copies give none. The
+    A copy is an alignment with at least ``least_similarity`` of the score of the whole item, with LEAST_RUN words of it in a
+    row, or with the score of LEAST_MATCHED matching words, so a part of a long item is one too. One row per copy: an item that
+    stands twice in a document gives two rows, however near to each other; documents without copies give none. The
     similarity is the alignment score over that of an exact copy. Words are compared in lower case without punctuation. Null
     and empty texts, and items of fewer than three words, match nothing; items with equal id and text count once; repeated
     documents give repeated rows, null ids are carried. Of equal alignments the one with the earliest start is reported.
@@ -222,7 +294,14 @@ def find_leaks(
     counts = hits.join(known, "gram").groupBy("gram").agg(F.count("*").alias("documents"))
     weighed = stored(grams.join(counts, "gram", "left").fillna(0, "documents"), "leaks-weighed")
     middle = weighed.groupBy("item").agg(F.median("documents").alias("middle"))
-    seeds = weighed.join(middle, "item").where(F.col("documents") <= F.greatest(F.lit(RARE_DOCUMENTS), "middle"))
+    # The rarest triple of every LEAST_RUN words is a seed, so that a part is found whatever stands in the rest of its item.
+    grams_of_run = LEAST_RUN - SEED + 1
+    line = Window.partitionBy("item").orderBy("at")  # the triples of one item
+    coming, gone = line.rowsBetween(0, grams_of_run - 1), line.rowsBetween(1 - grams_of_run, 0)
+    rarest = F.when(F.count("*").over(coming) == grams_of_run, F.min("documents").over(coming))
+    weighed = weighed.withColumn("rarest", rarest).withColumn("rarest", F.max("rarest").over(gone))
+    bound = F.greatest(F.lit(RARE_DOCUMENTS), "middle", "rarest")
+    seeds = weighed.join(middle, "item").where(F.col("documents") <= bound)
     seeds = stored(seeds.select("gram", "item", "length", "at"), "leaks-seeds")
 
     met = hits.join(seeds, "gram").select("id", "key", "item", "length", F.explode("places").alias("place"), "at")
@@ -235,7 +314,7 @@ def find_leaks(
     stretches = stored(map_columns(both.select("id", "t", "found"), region_columns, schema), "leaks-stretches")
     aligning = stretches.join(tests.select("item", F.col("words").alias("item_words")), "item")
     schema = f"id {kind}, item long, score long, similarity double, start long, end long"
-    done = map_columns(aligning, align_columns, schema).where(F.col("similarity") >= least_similarity)
+    done = map_columns(aligning, align_columns, schema, least_similarity)
     return done.join(tests.select("item", "item_id"), "item").select(
         F.col("id").alias(id_column), F.col("item_id").alias(item_column), "score", "similarity", "start", "end"
     )
