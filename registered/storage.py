@@ -13,10 +13,11 @@ from registered.sql import with_base
 from tidemark.operators import report
 from tidemark.columns import LABEL, REPORT_COLUMNS
 from tidemark.operators.split import feature_names, split_by_snapshot
+from tidemark.functions.times import snapshot
 from tidemark.session import scratch_path
 from tidemark.sources import files, footers, sinks
 from tidemark.sources import sample_data as data
-from tidemark.streaming import daily, versions
+from tidemark.streaming import daily, state, versions
 
 RUN_DAY = date(1998, 7, 1)
 CUSTOMER = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
@@ -219,6 +220,35 @@ def completed_days(spark, folder):
     return daily.scan_completed(spark, root).select("event_id", "value")
 
 
+@query("s13_incremental_state", with_base(sql.features("1998-05-01")))
+def incremental_state(spark, folder):
+    """Features at a snapshot from the stored state. Years, and from 1998 on months, of all orders are published in three versions,
+    each followed by an update: up to 1996, with one year missing and one with wrong money; these two again; the rest."""
+    root = scratch_path(spark, "state")
+    lake = f"{root}/lake"
+    bought = F.col("order_purchase_timestamp")
+    batch = F.when(F.year(bought) < 1998, F.trunc(bought, "year")).otherwise(F.trunc(bought, "month"))
+    dated = data.raw_orders(spark, folder).select("*", *daily.day_columns(batch))
+    links = dated.select("customer_id", *files.DAY_COLUMNS).distinct()
+    everything = {
+        "orders": dated,
+        "customers": links.join(data.raw_customers(spark, folder), "customer_id"),
+        "payments": dated.select("order_id", *files.DAY_COLUMNS).join(data.raw_payments(spark, folder), "order_id"),
+    }
+    year = F.col("year")
+    first = {name: df.filter((year < "1997") & (year != "1994")) for name, df in everything.items()}
+    money = F.when(year == "1995", 2).otherwise(1) * F.col("payment_value")
+    first["payments"] = first["payments"].withColumn("payment_value", money.cast("decimal(18,2)"))
+    for tables in (
+        first,
+        {name: df.filter(year.isin("1994", "1995")) for name, df in everything.items()},
+        {name: df.filter(year >= "1997") for name, df in everything.items()},
+    ):
+        versions.publish(tables, lake)
+        state.update(spark, lake, f"{root}/persons", buckets=8)
+    return state.features_at(spark, f"{root}/persons", snapshot("1998-05-01"))
+
+
 REPORT_SQL = with_base(
     "SELECT customer_unique_id, predicted_probability, monetary_total, revenue_at_risk FROM scored "
     "WHERE predicted_probability >= 0.5",

@@ -89,11 +89,13 @@ def is_completed() -> Column:
     return F.col("order_status").isin(COMPLETED_STATUSES)
 
 
-def activity(tables: OrderTables, orders: DataFrame | None = None) -> DataFrame:
-    """Rows of one order and person with all measures. Their number is meaningless, their merge is not."""
+def activity(tables: OrderTables, orders: DataFrame | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """Rows of one order and person with all measures, and further columns of the orders to ``keep``. Their number is
+    meaningless, their merge is not."""
     paid = F.col("order_payment_value")
     copies = F.col("copies")
     return enriched_orders(tables, orders).select(
+        *keep,
         PERSON,
         "order_id",
         "purchase_ts",

@@ -116,9 +116,12 @@ def day_paths(root: str, name: str, entry: dict) -> list[str]:
     return [day_folder(f"{root}/{name}/{WRITE}={write}", date.fromisoformat(d)) for d, write in sorted(entry["days"].items())]
 
 
-def read_version(spark: SparkSession, root: str, version: int | None = None) -> dict[str, DataFrame]:
-    """All tables of one version, the newest unless given, with their day columns as text. Only folders of the version are
-    listed; a filter on the day columns prunes them."""
+def read_version(
+    spark: SparkSession, root: str, version: int | None = None, days: Iterable[str] | None = None
+) -> dict[str, DataFrame]:
+    """All tables of one version, the newest unless given, with their day columns as text. Only folders of the version, or of
+    its given ISO ``days``, are listed; a filter on the day columns prunes them."""
+    wanted = None if days is None else set(days)
     version = version or max(list_versions(spark, root), default=0)
     if not version:
         raise FileNotFoundError(f"nothing is published in {root}")
@@ -126,7 +129,8 @@ def read_version(spark: SparkSession, root: str, version: int | None = None) ->
     for name, entry in read_manifest(spark, root, version).items():
         data = StructType.fromJson(entry["schema"])
         schema = StructType([*data, *[StructField(c, StringType()) for c in (*DAY_COLUMNS, WRITE)]])
-        paths = day_paths(root, name, entry)
+        held = {d: write for d, write in entry["days"].items() if wanted is None or d in wanted}
+        paths = day_paths(root, name, {"days": held})
         reader = spark.read.schema(schema).option("basePath", f"{root}/{name}")
         found = reader.parquet(*paths) if paths else spark.createDataFrame([], schema)
         out[name] = found.select(*[F.col(f"`{f.name}`") for f in data], *DAY_COLUMNS)
