@@ -13,6 +13,8 @@ from tidemark.operators import features as feat
 from tidemark.operators import targets as tgt
 from tidemark.operators.split import features_of, labels_of
 from tidemark.plans import panel as pan
+from tidemark.session import scratch_path
+from tidemark.sources import keyed
 from tidemark.sources import sample_data as data
 from tidemark.sources.tables import orders_before
 
@@ -131,6 +133,23 @@ def orders_with_payments(spark, folder):
     return tables.orders.join(act.order_payments(tables.payments), "order_id", "left").select("order_id", paid)
 
 
+@query(
+    "j2_stored_by_order",
+    with_base(
+        "SELECT order_id, CAST(COALESCE(order_payment_value, 0) AS DOUBLE) AS payment_value "
+        "FROM o LEFT JOIN opay USING (order_id)"
+    ),
+)
+def orders_with_payments_stored_by_order(spark, folder):
+    """Orders and payments are stored by order id; the sums and the join move nothing."""
+    tables, root = data.order_tables(spark, folder), scratch_path(spark, "by-order")
+    keyed.write_keyed({"orders": tables.orders, "payments": tables.payments}, root, "order_id", 16)
+    orders, payments = (keyed.open_keyed(spark, root, name, "order_id", 16) for name in ("orders", "payments"))
+    rows = keyed.join_sums(orders, payments, "order_id", act.order_payments, act.order_payments_for_hot_ids)
+    paid = F.coalesce(F.col("order_payment_value"), F.lit(0)).cast("double").alias("payment_value")
+    return rows.select("order_id", paid)
+
+
 @query("j3_features_targets", with_base(sql.panel_part("1998-01-01")))
 def features_with_targets(spark, folder):
     tables = data.order_tables(spark, folder)

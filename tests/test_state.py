@@ -66,7 +66,7 @@ def test_equals_a_rebuild_after_every_change(spark, tmp_path):
         assert state.update(spark, lake, root) == [day.isoformat()]
         at = snapshot("2018-07-01")
         assert features(state.features_at(spark, root, at)) == rebuilt(spark, lake, at)
-    assert not spark.sql("SHOW TABLES LIKE 'state_*'").collect()
+    assert not spark.sql("SHOW TABLES LIKE 'keyed_*'").collect()
     assert len(state.state_manifest(spark, root)[1]["states"]) <= 2 < len(list(tmp_path.glob("state/states/*")))
     assert len(list(state.unused_folders(spark, root))) >= 2
 
@@ -78,9 +78,9 @@ def test_only_changed_days_are_read_and_the_state_stays_in_place(spark, tmp_path
     state.update(spark, lake, root, buckets=4)
     versions.publish(lake_tables(spark, [day_rows(rng, d) for d in DAYS[6:]]), lake)
     read, merged = [], []
-    real_summaries, real_write = state.batch_summaries, state.write_state
+    real_summaries, real_write = state.batch_summaries, state.write_buckets
     monkeypatch.setattr(state, "batch_summaries", lambda tables: read.extend(tables.values()) or real_summaries(tables))
-    monkeypatch.setattr(state, "write_state", lambda df, *rest: merged.append(df) or real_write(df, *rest))
+    monkeypatch.setattr(state, "write_buckets", lambda df, *rest: merged.append(df) or real_write(df, *rest))
     state.update(spark, lake, root)
     files = [f for df in read for f in df.inputFiles()]
     assert files and all("day=07" in f or "day=08" in f for f in files)

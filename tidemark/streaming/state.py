@@ -14,8 +14,7 @@ link and its payments belong to one batch, and are joined within it.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Iterator
-from contextlib import contextmanager
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +26,7 @@ from tidemark.functions.times import Snapshot, instant
 from tidemark.operators.activity import PAST_MEASURES, activity, summary
 from tidemark.operators.features import feature_columns
 from tidemark.sources.files import DAY_COLUMNS, file_system, hadoop_path
+from tidemark.sources.keyed import open_buckets, write_buckets
 from tidemark.sources.tables import OrderTables, typed_customers, typed_orders, typed_payments
 from tidemark.streaming.versions import VERSIONS, commit, list_versions, read_manifest, read_version
 
@@ -77,29 +77,6 @@ def both(name: str) -> Column:
     return F.least(old, new) if MERGES[name] is F.min else F.greatest(old, new)
 
 
-@contextmanager
-def table_name(spark: SparkSession) -> Iterator[str]:
-    """A name in the session catalog, only while a bucketed folder is written or opened. Files stay when it goes."""
-    name = f"state_{uuid.uuid4().hex}"
-    try:
-        yield name
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-
-
-def write_state(df: DataFrame, path: str, buckets: int) -> None:
-    with table_name(df.sparkSession) as name:
-        df.write.format("parquet").bucketBy(buckets, KEY).sortBy(KEY).option("path", path).saveAsTable(name)
-
-
-def open_state(spark: SparkSession, path: str, schema: StructType, buckets: int) -> DataFrame:
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-    place = hadoop_path(spark, path).toString().replace("'", "\\'")
-    with table_name(spark) as name:
-        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({KEY}) INTO {buckets} BUCKETS LOCATION '{place}'")
-        return spark.table(name)
-
-
 def new_manifest(buckets: int) -> dict:
     return {"buckets": buckets, "schema": None, "lake": 0, "batches": {}, "states": []}
 
@@ -135,7 +112,7 @@ def state_before(spark: SparkSession, root: str, manifest: dict, day: str | None
     through = states[-1]["through"] if states else ""
     later = {d: b["summary"] for d, b in manifest["batches"].items() if d > through and (day is None or d < day) and b["summary"]}
     paths = [f"{root}/summaries/write={write}/batch={d}" for d, write in sorted(later.items())]
-    old = open_state(spark, f"{root}/states/{states[-1]['write']}", schema, manifest["buckets"]) if states else None
+    old = open_buckets(spark, f"{root}/states/{states[-1]['write']}", schema, KEY, manifest["buckets"]) if states else None
     if not paths:
         return old
     new = spark.read.schema(schema).parquet(*paths).groupBy(KEY).agg(F.max(PERSON).alias(PERSON), *merges())
@@ -180,7 +157,7 @@ def update(spark: SparkSession, lake: str, root: str, buckets: int = BUCKETS, ke
             rows = state_before(spark, root, manifest)
             # Rows merged with an older state already lie in their buckets.
             rows = rows if through else rows.repartition(manifest["buckets"], KEY)
-            write_state(rows, f"{root}/states/{write}", manifest["buckets"])
+            write_buckets(rows, f"{root}/states/{write}", KEY, manifest["buckets"])
             manifest["states"] = [*manifest["states"], {"through": max(manifest["batches"]), "write": write}][-keep:]
     if not commit(spark, root, number + 1, manifest):
         return update(spark, lake, root, buckets, keep)
