@@ -6,6 +6,8 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from registered import storage  # noqa: F401
+from registered.registry import QUERIES
 from tests.orders import CUSTOMERS, ORDERS, PAYMENTS, order
 from tidemark.functions.times import snapshot
 from tidemark.operators.features import point_in_time_features
@@ -145,3 +147,12 @@ def test_stream_over_versions_survives_restarts(spark, tmp_path, monkeypatch):
     run()
     assert [d for d in done if d] == [[d.isoformat() for d in DAYS[:2]], [DAYS[2].isoformat()]]
     assert features(state.features_at(spark, root, at)) == rebuilt(spark, lake, at)
+
+
+def test_published_versions_read_stored_days(spark, folder, monkeypatch):
+    """The registered query joins orders and line items once, not for each version."""
+    read, publish = [], versions.publish
+    monkeypatch.setattr(versions, "publish", lambda tables, root: read.extend(f for df in tables.values() for f in df.inputFiles()) or publish(tables, root))
+    QUERIES["s13_incremental_state"](spark, folder)
+    assert read
+    assert not [f for f in read if "lineitem" in f or "orders.parquet" in f]
